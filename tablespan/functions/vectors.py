@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablespan.operators.schema import quoted
 
@@ -60,11 +59,3 @@ def group_centroids(
         *groups, F.transform("means", lambda m: m.getField("mean")).alias(centroid)
     )
 
-
-def is_point(kind: T.DataType) -> bool:
-    """Whether a column type can be used as a point here."""
-    if isinstance(kind, T.ArrayType):
-        return isinstance(kind.elementType, T.NumericType)
-    return isinstance(kind, T.StructType) and all(
-        isinstance(f.dataType, T.NumericType) for f in kind.fields
-    )

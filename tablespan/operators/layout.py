@@ -60,16 +60,14 @@ def coalesce_for_workers(
 ) -> DataFrame:
     """At most ``cap`` partitions, one per key where that is possible.
 
-    Unchanged when there are few enough partitions already.  With ``keys`` of at
-    most ``cap`` different values, each value gets a partition of its own, unless
-    one of them holds more than ``skew_limit / cap`` of the rows.  Otherwise
-    neighbouring partitions are merged without a shuffle and grouping is lost.
+    With ``keys`` of at most ``cap`` different values, each value gets a partition
+    of its own, unless one of them holds more than ``skew_limit / cap`` of the
+    rows.  Otherwise neighbouring partitions are merged without a shuffle and
+    grouping is lost; that changes nothing where there are few enough already.
     No row is dropped in any case.
     """
     if cap < 1:
         raise ValueError("the worker cap must be at least 1")
-    if frame.rdd.getNumPartitions() <= cap:
-        return frame
     if keys:
         columns = [F.col(quoted(k)) for k in keys]
         counts = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
@@ -85,13 +83,13 @@ def _one_partition_per_key(frame: DataFrame, keys: Sequence[str], values: list[t
     """``values`` is no longer than the worker cap, which bounds what is broadcast."""
     spark = frame.sparkSession
     fields = frame.select(*[F.col(quoted(k)) for k in keys]).schema
-    names = [f"key_{i}" for i in range(len(keys))]
+    names = [f"worker_key_{i}" for i in range(len(keys))]
     numbered = spark.createDataFrame(
         [(*value, number) for number, value in enumerate(values)],
         ", ".join(
-            [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields)] + ["place int"]
+            [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields)] + ["worker_place int"]
         ),
     )
     match = [F.col(quoted(k)).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
     placed = frame.join(F.broadcast(numbered), match, "inner")
-    return placed.repartitionById(len(values), F.col("place")).drop("place", *names)
+    return placed.repartitionById(len(values), F.col("worker_place")).drop("worker_place", *names)
