@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablespan.operators.compare import as_text, frames_diff
 from tablespan.operators.layout import coalesce_for_workers, key_grouped
-from tablespan.queries.registry import query, read
+from tablespan.queries.registry import kept, query, read
 
 
 @query(
@@ -25,7 +25,7 @@ def key_grouped_agg(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("l_suppkey", "l_returnflag")
         .agg(F.count(F.lit(1)).alias("n"), F.max("l_shipdate").alias("last_ship"))
     )
-    laid = key_grouped(fine, ["l_suppkey"], 8)
+    laid = key_grouped(kept(spark, fine), ["l_suppkey"], 8)
     return laid.groupBy("l_suppkey").agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("n_flags"),

@@ -51,3 +51,10 @@ def new_folder(spark: SparkSession) -> str:
     if not shared:
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{shared.rstrip('/')}/tablespan-{uuid.uuid4().hex}"
+
+
+def kept(spark: SparkSession, frame: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder, for results that are read more than once."""
+    path = new_folder(spark)
+    frame.write.parquet(path)
+    return spark.read.parquet(path)

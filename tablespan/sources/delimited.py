@@ -9,6 +9,7 @@ path and the offset of the split; the text itself never leaves the JVM.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -139,6 +140,11 @@ def _files_of(spark: SparkSession, locations: Sequence[str]) -> list[str]:
         return [unquote(file) for files in found for file in files]
 
 
+def _plain(path: str) -> str:
+    """One spelling for a path that Spark writes with one slash or three after the scheme."""
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", unquote(path))
+
+
 def _headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
     """The first line of every file that has one."""
 
@@ -154,7 +160,8 @@ def _headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
             return {file: line for file, line in lines if line is not None}
     marked = _marked(spark.read.text(distinct), "_metadata.file_path")
     rows = marked.where(F.col("begins_file")).select("file_path", "value").collect()
-    return {unquote(row.file_path): row.value for row in rows}
+    lines = {_plain(row.file_path): row.value for row in rows}
+    return {file: lines[_plain(file)] for file in distinct if _plain(file) in lines}
 
 
 def read_delimited(
