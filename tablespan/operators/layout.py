@@ -25,7 +25,11 @@ def largest_share(frame: DataFrame, keys: Sequence[str]) -> float:
 
 
 def key_grouped(
-    frame: DataFrame, keys: Sequence[str], partitions: int, skew_limit: float = 2.0
+    frame: DataFrame,
+    keys: Sequence[str],
+    partitions: int,
+    skew_limit: float = 2.0,
+    share: float | None = None,
 ) -> DataFrame:
     """Place rows so that grouping or joining by ``keys`` needs no further exchange.
 
@@ -33,28 +37,47 @@ def key_grouped(
     aggregate should group the raw frame: Spark then combines before it
     shuffles.  If one key holds more than ``skew_limit`` times its fair share of
     a partition, the layout is not claimed and the frame comes back as it was;
-    a later grouping is planned by Spark, with the same result.
+    a later grouping is planned by Spark, with the same result.  The largest
+    key's ``share`` is measured, which reads the key columns once, unless given.
     """
-    if largest_share(frame, keys) * partitions > skew_limit:
+    if not _even(frame, keys, partitions, skew_limit, share):
         return frame
     return frame.repartition(partitions, *[F.col(quoted(k)) for k in keys])
 
 
 def store_key_grouped(
-    frame: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None
+    frame: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    buckets: int,
+    path: str | None = None,
+    skew_limit: float = 2.0,
+    share: float | None = None,
 ) -> DataFrame:
     """Write ``frame`` once in buckets of ``keys``; later groupings and joins need no exchange.
 
-    Pre-aggregate a frame whose keys are very uneven before storing it: a bucket
-    holds every row of its keys.
+    A bucket is read by one task, so with keys as uneven as :func:`key_grouped`
+    describes the table is written without buckets and only costs an exchange later.
     """
-    writer = frame.repartition(buckets, *[F.col(quoted(k)) for k in keys]).write.format("parquet")
+    bucketed = _even(frame, keys, buckets, skew_limit, share)
+    if bucketed:
+        frame = frame.repartition(buckets, *[F.col(quoted(k)) for k in keys])
+    writer = frame.write.format("parquet")
     if path is not None:
         writer = writer.option("path", path)
-    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    if bucketed:
+        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.saveAsTable(table)
     return frame.sparkSession.table(table)
 
 
+def _even(
+    frame: DataFrame, keys: Sequence[str], places: int, skew_limit: float, share: float | None
+) -> bool:
+    largest = largest_share(frame, keys) if share is None else share
+    return largest * places <= skew_limit
+
+
 def coalesce_for_workers(
     frame: DataFrame, cap: int, keys: Sequence[str] = (), skew_limit: float = 2.0
 ) -> DataFrame:

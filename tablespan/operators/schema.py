@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +93,14 @@ def conform(frame: DataFrame, schema: T.StructType, owner: str = "table") -> Dat
     return frame.select(*columns)
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """The rows of all frames, by position; paired up so that the plan stays shallow."""
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    return union_all(frames[:half]).union(union_all(frames[half:]))
+
+
 def show_row_id(frame: DataFrame) -> DataFrame:
     """Show the column tagged as row id in its field metadata under the name ``rowid``."""
     tagged = [f.name for f in frame.schema.fields if ROW_ID_KEY in f.metadata]

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablespan.operators.schema import quoted
+from tablespan.operators.schema import quoted, union_all
 from tablespan.plans.predicates import Bounds, ColumnPath
 from tablespan.plans.scan import branch_frame
 from tablespan.plans.tables import Table
@@ -87,7 +86,7 @@ def column_statistics(
     if not counts:
         return statistics
     # One row per column of the table, so small enough to broadcast.
-    exact = F.broadcast(reduce(DataFrame.union, counts))
+    exact = F.broadcast(union_all(counts))
     joined = statistics.join(exact, "column_name", "left")
     return joined.withColumn("distinct_count", F.col("exact_count")).drop("exact_count")
 
@@ -124,7 +123,7 @@ def profile_branches(spark: SparkSession, table: Table, paths: Sequence[ColumnPa
             F.max(value).alias(f"high{i}"),
             F.count_if(value.isNull()).alias(f"nulls{i}"),
         ]
-    measured = reduce(DataFrame.union, tagged).groupBy("branch").agg(*measures).collect()
+    measured = union_all(tagged).groupBy("branch").agg(*measures).collect()
     by_number = {row["branch"]: row for row in measured}
     branches = []
     for number, branch in enumerate(table.branches):

@@ -53,3 +53,20 @@ class Catalog:
         self, spark: SparkSession, name: str, namespace: Namespace | None = None, **options: Any
     ) -> DataFrame:
         return scan(spark, self.table(name, namespace), **options)
+
+    def publish(
+        self,
+        spark: SparkSession,
+        name: str,
+        namespace: Namespace | None = None,
+        view: str | None = None,
+        **options: Any,
+    ) -> str:
+        """Offer one scan to SQL as a temporary view; its name defaults to the table's.
+
+        A table with required filters needs them here, since a view's reader
+        cannot be asked for them.
+        """
+        view = view or name
+        self.scan(spark, name, namespace, **options).createOrReplaceTempView(view)
+        return view

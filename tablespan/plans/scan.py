@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablespan.operators.schema import conform, row_id_schema, show_row_id
+from tablespan.operators.schema import conform, row_id_schema, show_row_id, union_all
 from tablespan.plans.predicates import Predicate, check_required_filters, conjuncts
 from tablespan.plans.tables import Table, VersionedTable
 from tablespan.sources.branches import Branch, filter_of
@@ -55,7 +54,7 @@ def scan(
     if not frames and table.schema is None:
         frames = [branch_frame(spark, table, table.branches[0])]
     if frames:
-        rows = reduce(DataFrame.union, frames)
+        rows = union_all(frames)
     else:
         rows = spark.createDataFrame([], row_id_schema(table.schema))
     for condition in conditions:

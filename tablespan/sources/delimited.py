@@ -14,7 +14,6 @@ from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 from urllib.parse import unquote
 
@@ -24,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablespan.operators.schema import row_id_schema
+from tablespan.operators.schema import row_id_schema, union_all
 
 
 @dataclass(frozen=True)
@@ -196,4 +195,4 @@ def read_delimited(
         named = [position.get(name) for name in schema.fieldNames()]
         rows = _marked(spark.read.text(group)).where(~F.col("begins_file"))
         parts.append(_cells(rows, schema, named, options))
-    return reduce(DataFrame.union, parts)
+    return union_all(parts)

@@ -131,7 +131,8 @@ def test_stored_grouping_needs_no_exchange(spark, tmp_path):
             spark.range(100).selectExpr("id % 9 AS k", "id AS v"), "laid_left", ["k"], 4, f"{tmp_path}/l"
         )
         right = store_key_grouped(
-            spark.range(9).selectExpr("id AS k", "id * 2 AS w"), "laid_right", ["k"], 4, f"{tmp_path}/r"
+            spark.range(9).selectExpr("id AS k", "id * 2 AS w"), "laid_right", ["k"], 4, f"{tmp_path}/r",
+            share=0.2,
         )
         joined = left.join(right, "k").groupBy("k").agg(F.sum("w").alias("w"))
         assert exchanges(joined) == 0
@@ -142,9 +143,15 @@ def test_stored_grouping_needs_no_exchange(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS laid_right")
 
 
-def placed(frame, key):
-    where = frame.groupBy(key, F.spark_partition_id().alias("p")).count().collect()
-    return {(r[key], r.p): r["count"] for r in where}
+def test_uneven_keys_are_stored_without_buckets(spark, tmp_path):
+    try:
+        stored = store_key_grouped(third(spark), "laid_uneven", ["k"], 8, f"{tmp_path}/u")
+        assert stored.count() == 30_000
+        assert exchanges(stored.groupBy("k").count()) == 1
+        described = spark.sql("DESCRIBE EXTENDED laid_uneven").collect()
+        assert not any("Bucket" in r.col_name for r in described)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS laid_uneven")
 
 
 def test_worker_cap_with_few_keys(spark):
@@ -322,7 +329,16 @@ def test_catalog(spark):
     rows = catalog.scan(spark, "numbers", where=[at("n") > 90, at("n") <= 95])
     assert [r.n for r in rows.orderBy("n").collect()] == [91, 92, 93, 94, 95]
     assert tuple(catalog.scan(spark, "numbers").agg(F.count("n"), F.sum("n")).first()) == (100, 4950)
+    view = catalog.publish(spark, "numbers", view="published_numbers")
+    assert spark.sql(f"SELECT sum(n) FROM {view} WHERE n < 10").first()[0] == 45
     with pytest.raises(UnknownTableError, match="data.letters"):
         catalog.table("letters")
     with pytest.raises(ValueError, match="already"):
         catalog.add(numbers)
+
+
+def test_many_branches_make_a_shallow_plan(spark):
+    table = Table(
+        "t", tuple(function_branch(sequence, 3) for _ in range(200)), T.StructType().add("n", T.LongType())
+    )
+    assert scan(spark, table, where=at("n") > 0).count() == 400
