@@ -34,7 +34,6 @@ class TableFunction:
     name: str
     parameters: Sequence[tuple[str, T.DataType]]
     build: Callable[..., DataFrame]
-    namespace: tuple[str, ...] = ("main",)
 
     def __post_init__(self) -> None:
         for name, kind in self.parameters:
@@ -56,20 +55,3 @@ class TableFunction:
                 )
         return self.build(spark, *arguments)
 
-
-class TableFunctions:
-    """Table functions by namespace and name; names ignore case."""
-
-    def __init__(self, functions: Sequence[TableFunction], default_namespace=("main",)):
-        self.default_namespace = tuple(default_namespace)
-        self._functions = {(f.namespace, f.name.lower()): f for f in functions}
-
-    def names(self, namespace: tuple[str, ...] | None = None) -> list[str]:
-        wanted = namespace or self.default_namespace
-        return sorted(f.name for (ns, _), f in self._functions.items() if ns == wanted)
-
-    def call(self, spark: SparkSession, name: str, *arguments: Any, namespace=None) -> DataFrame:
-        key = (tuple(namespace or self.default_namespace), name.lower())
-        if key not in self._functions:
-            raise LookupError(f"no table function {'.'.join(key[0])}.{name}")
-        return self._functions[key].call(spark, *arguments)

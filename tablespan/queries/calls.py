@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +10,9 @@ from pyspark.sql import types as T
 
 from tablespan.functions.contract import Setting, null_strict, setting_value
 from tablespan.functions.dispatch import ANY, Function, Overload, constant
+from tablespan.functions.library import Library
 from tablespan.functions.rowwise import sum_values
-from tablespan.functions.table_functions import TableFunction, TableFunctions
+from tablespan.functions.table_functions import TableFunction
 from tablespan.functions.tensors import tensor_rows, unnest_tensor
 from tablespan.functions.vectors import (
     centroid_of_structs,
@@ -22,7 +22,7 @@ from tablespan.functions.vectors import (
 )
 from tablespan.plans.predicates import at
 from tablespan.plans.scan import scan
-from tablespan.queries.registry import given, path_of, query, read
+from tablespan.queries.registry import given, query, read
 
 
 @query("SELECT o_orderkey, 'global_scalar:' || CAST(o_orderkey AS VARCHAR) AS tagged FROM orders")
@@ -396,27 +396,26 @@ def fn_nested_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _orders_between(
-    spark: SparkSession, path: str, low: float, high: float, with_customer: bool
+    spark: SparkSession, folder: str, low: float, high: float, with_customer: bool
 ) -> DataFrame:
-    folder = path
     columns = ["o_orderkey", "o_totalprice"] + (["o_custkey"] if with_customer else [])
     where = at("o_totalprice").between(low, high)
     return scan(spark, given(folder, "orders"), where=where, columns=columns)
 
 
-TABLE_FUNCTIONS = TableFunctions(
-    [
-        TableFunction(
-            "orders_between",
-            [
-                ("folder", T.StringType()),
-                ("low", T.DoubleType()),
-                ("high", T.DoubleType()),
-                ("with_customer", T.BooleanType()),
-            ],
-            _orders_between,
-        )
-    ]
+LIBRARY = Library()
+LIBRARY.add(
+    "orders_between",
+    TableFunction(
+        "orders_between",
+        [
+            ("folder", T.StringType()),
+            ("low", T.DoubleType()),
+            ("high", T.DoubleType()),
+            ("with_customer", T.BooleanType()),
+        ],
+        _orders_between,
+    ),
 )
 
 
@@ -428,7 +427,7 @@ TABLE_FUNCTIONS = TableFunctions(
 )
 def table_function_call(spark: SparkSession, folder: str) -> DataFrame:
     """The last argument decides whether the result has a customer column."""
-    return TABLE_FUNCTIONS.call(spark, "Orders_Between", folder, 100000.0, 120000.0, True)
+    return LIBRARY.table(spark, "Orders_Between", folder, 100000.0, 120000.0, True)
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablespan.operators.asof import latest_as_of
 from tablespan.operators.statistics import column_statistics, profile_branches
+from tablespan.plans.catalog import Catalog
 from tablespan.plans.predicates import at
 from tablespan.plans.scan import scan
 from tablespan.plans.tables import Table, Version, VersionedTable
@@ -499,3 +500,66 @@ def filter_mix(spark: SparkSession, folder: str) -> DataFrame:
     ]
     columns = ["o_orderkey", "o_custkey", "o_orderpriority"]
     return scan(spark, given(folder, "orders"), where=where, columns=columns)
+
+
+@query(
+    """
+    SELECT event_id, user_id, event_type FROM events
+    WHERE event_type = 'click' AND value > 10 OR event_type = 'error'
+    """
+)
+def filter_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """NULL tests over columns that do hold NULLs: clicks have no type, errors no value."""
+    kind = F.nullif("event_type", F.lit("click"))
+    value = F.when(F.col("event_type") != "error", F.col("value"))
+    events = read(spark, folder, "events").select(
+        "event_id", "user_id", kind.alias("kind"), value.alias("value")
+    )
+    table = Table("events", (frame_branch(events),), events.schema)
+    clicks = at("kind").is_null() & (at("value") > 10.0) & at("user_id").is_not_null()
+    rows = scan(spark, table, where=clicks | at("value").is_null())
+    return rows.select(
+        "event_id", "user_id", F.coalesce("kind", F.lit("click")).alias("event_type")
+    )
+
+
+@query(
+    """
+    SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY l_suppkey
+    """
+)
+def required_filter_parent(spark: SparkSession, folder: str) -> DataFrame:
+    """A filter on a struct counts for a required path inside it."""
+    even = F.col("l_suppkey") % 2 == 0
+    inner = F.when(even, F.struct(F.col("l_suppkey").alias("leaf")))
+    lines = read(spark, folder, "lineitem").select(inner.alias("wrapper"), "l_suppkey")
+    table = Table(
+        "lines", (frame_branch(lines),), lines.schema, required_filters=((("wrapper", "leaf"),),)
+    )
+    rows = scan(spark, table, where=at("wrapper").is_not_null())
+    return rows.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """
+    SELECT c_mktsegment, count(*) AS n_orders, max(o_totalprice) AS largest
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    WHERE o_orderdate >= TIMESTAMP '1999-01-01' GROUP BY c_mktsegment
+    """
+)
+def catalog_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables of a catalog offered to SQL; the guarded one brings its filter along."""
+    catalog = Catalog("given", default_namespace=("data",))
+    catalog.add(given(folder, "customer"))
+    catalog.add(orders_by_status(folder))
+    customers = catalog.publish(spark, "customer", view="tablespan_customer")
+    recent = catalog.publish(
+        spark,
+        "orders",
+        view="tablespan_recent_orders",
+        where=at("o_orderdate") >= dt.datetime(1999, 1, 1),
+    )
+    return spark.sql(
+        f"""SELECT c_mktsegment, count(*) AS n_orders, max(o_totalprice) AS largest
+        FROM {recent} JOIN {customers} ON o_custkey = c_custkey GROUP BY c_mktsegment"""
+    )

@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 from tablespan.functions.contract import Setting, null_strict, setting_value
 from tablespan.functions.dispatch import ANY, DispatchError, Function, Overload, constant
 from tablespan.functions.rowwise import sum_values
-from tablespan.functions.table_functions import TableFunction, TableFunctions
+from tablespan.functions.library import Library, UnknownFunctionError
+from tablespan.functions.table_functions import TableFunction
 from tablespan.functions.tensors import tensor_rows, unnest_tensor
 from tablespan.functions.vectors import (
     centroid_of_structs,
@@ -14,6 +15,7 @@ from tablespan.functions.vectors import (
     distance_structs,
     group_centroids,
 )
+from tablespan.queries.aggregates import CommonDivisor
 from tablespan.queries.calls import FORMAT_NUMBER, TYPE_INFO, conditional_message
 from tablespan.sources.sequences import split_sequence
 
@@ -225,35 +227,56 @@ def test_unnest_three_axes(spark):
         unnest_tensor(F.col("t"), {})
 
 
-FUNCTIONS = TableFunctions(
-    [
-        TableFunction("split_sequence", [("n", LONG), ("splits", INT)], split_sequence),
-        TableFunction(
-            "columns", [("n", INT)], lambda s, n: s.range(1).select(*[F.lit(i).alias(f"c{i}") for i in range(n or 1)]),
-            namespace=("extra",),
-        ),
-    ]
+LIBRARY = Library()
+LIBRARY.add("split_sequence", TableFunction("split_sequence", [("n", LONG), ("splits", INT)], split_sequence))
+LIBRARY.add(
+    "Columns",
+    TableFunction("columns", [("n", INT)], lambda s, n: s.range(1).select(*[F.lit(i).alias(f"c{i}") for i in range(n or 1)])),
+    ("extra",),
 )
+LIBRARY.add("format_number", FORMAT_NUMBER)
+LIBRARY.add("divisor", CommonDivisor())
 
 
 def test_table_functions(spark):
-    rows = FUNCTIONS.call(spark, "SPLIT_sequence", 30, 6)
+    rows = LIBRARY.table(spark, "SPLIT_sequence", 30, 6)
     assert sorted(r.n for r in rows.collect()) == list(range(30))
-    assert FUNCTIONS.call(spark, "split_sequence", 5, 2, namespace=("main",)).count() == 5
-    assert FUNCTIONS.call(spark, "columns", 3, namespace=("extra",)).columns == ["c0", "c1", "c2"]
-    assert FUNCTIONS.call(spark, "columns", None, namespace=("extra",)).columns == ["c0"]
-    assert FUNCTIONS.names() == ["split_sequence"] and FUNCTIONS.names(("extra",)) == ["columns"]
+    assert LIBRARY.table(spark, "split_sequence", 5, 2, namespace=("main",)).count() == 5
+    assert LIBRARY.table(spark, "columns", 3, namespace=("extra",)).columns == ["c0", "c1", "c2"]
+    assert LIBRARY.table(spark, "columns", None, namespace=("extra",)).columns == ["c0"]
+    assert LIBRARY.names("table") == ["split_sequence"]
+    assert LIBRARY.names("table", ("extra",)) == ["Columns"]
+
+
+def test_column_functions_and_aggregates_by_name(spark, one):
+    assert value(one, LIBRARY.column(one, "Format_Number", 2, 3.14159)) == "3.14"
+    assert LIBRARY.names("column") == ["format_number"]
+    frame = spark.createDataFrame([(1, 12), (1, 18)], "k int, i int")
+    assert LIBRARY.aggregate(frame, ["k"], "divisor", ["i"]).first().asDict() == {"k": 1, "divisor": 6}
+    with pytest.raises(UnknownFunctionError, match="column function main.divisor"):
+        LIBRARY.column(one, "divisor", 1)
+
+
+def test_names_are_taken_once_and_the_first_aggregate_stays(one):
+    library = Library()
+    library.add("f", FORMAT_NUMBER)
+    with pytest.raises(ValueError, match="already"):
+        library.add("F", TYPE_INFO)
+    first, second = CommonDivisor(), CommonDivisor()
+    library.add("a", first)
+    library.add("a", second)
+    assert library._find("aggregate", "a", None) is first
 
 
 def test_table_function_refusals(spark):
-    with pytest.raises(LookupError, match="main.columns"):
-        FUNCTIONS.call(spark, "columns", 1)
+    with pytest.raises(UnknownFunctionError, match="main.columns"):
+        LIBRARY.table(spark, "columns", 1)
     with pytest.raises(TypeError, match="takes 2 argument"):
-        FUNCTIONS.call(spark, "split_sequence", 1)
+        LIBRARY.table(spark, "split_sequence", 1)
     with pytest.raises(TypeError, match="'n' must be a bigint"):
-        FUNCTIONS.call(spark, "split_sequence", "1", 2)
+        LIBRARY.table(spark, "split_sequence", "1", 2)
     with pytest.raises(TypeError, match="'n' must be a bigint"):
-        FUNCTIONS.call(spark, "split_sequence", True, 2)
+        LIBRARY.table(spark, "split_sequence", True, 2)
     for kind in (T.DateType(), T.TimestampType(), T.DecimalType(5, 2), T.ArrayType(LONG)):
         with pytest.raises(TypeError, match="cannot be"):
             TableFunction("f", [("p", kind)], split_sequence)

@@ -19,7 +19,9 @@ TABLES = (
 def database():
     connection = duckdb.connect()
     for table in TABLES:
-        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+        path = f"{FOLDER}/{table}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return connection
 
 
