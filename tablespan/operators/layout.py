@@ -8,25 +8,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablespan.operators.schema import quoted
 
 
-def largest_share(frame: DataFrame, keys: Sequence[str]) -> float:
+# A key is a column name, or the path to a field inside a struct column.
+Key = str | tuple[str, ...]
+
+
+def _columns(keys: Sequence[Key]) -> list[Column]:
+    paths = [(key,) if isinstance(key, str) else key for key in keys]
+    return [F.col(".".join(quoted(part) for part in path)) for path in paths]
+
+
+def largest_share(frame: DataFrame, keys: Sequence[Key]) -> float:
     """The share of rows held by the most frequent key; 0 for an empty frame.
 
     Counts are combined before the shuffle and one row reaches the driver.
     """
-    counts = frame.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
+    counts = frame.groupBy(*_columns(keys)).agg(F.count(F.lit(1)).alias("rows"))
     top = counts.agg(F.max("rows").alias("top"), F.sum("rows").alias("rows")).first()
     return (top["top"] or 0) / top["rows"] if top["rows"] else 0.0
 
 
 def key_grouped(
     frame: DataFrame,
-    keys: Sequence[str],
+    keys: Sequence[Key],
     partitions: int,
     skew_limit: float = 2.0,
     share: float | None = None,
@@ -42,7 +51,7 @@ def key_grouped(
     """
     if not _even(frame, keys, partitions, skew_limit, share):
         return frame
-    return frame.repartition(partitions, *[F.col(quoted(k)) for k in keys])
+    return frame.repartition(partitions, *_columns(keys))
 
 
 def store_key_grouped(
@@ -61,7 +70,7 @@ def store_key_grouped(
     """
     bucketed = _even(frame, keys, buckets, skew_limit, share)
     if bucketed:
-        frame = frame.repartition(buckets, *[F.col(quoted(k)) for k in keys])
+        frame = frame.repartition(buckets, *_columns(keys))
     writer = frame.write.format("parquet")
     if path is not None:
         writer = writer.option("path", path)
@@ -72,14 +81,14 @@ def store_key_grouped(
 
 
 def _even(
-    frame: DataFrame, keys: Sequence[str], places: int, skew_limit: float, share: float | None
+    frame: DataFrame, keys: Sequence[Key], places: int, skew_limit: float, share: float | None
 ) -> bool:
     largest = largest_share(frame, keys) if share is None else share
     return largest * places <= skew_limit
 
 
 def coalesce_for_workers(
-    frame: DataFrame, cap: int, keys: Sequence[str] = (), skew_limit: float = 2.0
+    frame: DataFrame, cap: int, keys: Sequence[Key] = (), skew_limit: float = 2.0
 ) -> DataFrame:
     """At most ``cap`` partitions, one per key where that is possible.
 
@@ -92,7 +101,7 @@ def coalesce_for_workers(
     if cap < 1:
         raise ValueError("the worker cap must be at least 1")
     if keys:
-        columns = [F.col(quoted(k)) for k in keys]
+        columns = _columns(keys)
         counts = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
         found = counts.limit(cap + 1).collect()
         rows = sum(row["rows"] for row in found)
@@ -102,10 +111,10 @@ def coalesce_for_workers(
     return frame.coalesce(cap)
 
 
-def _one_partition_per_key(frame: DataFrame, keys: Sequence[str], values: list[tuple]) -> DataFrame:
+def _one_partition_per_key(frame: DataFrame, keys: Sequence[Key], values: list[tuple]) -> DataFrame:
     """``values`` is no longer than the worker cap, which bounds what is broadcast."""
     spark = frame.sparkSession
-    fields = frame.select(*[F.col(quoted(k)) for k in keys]).schema
+    fields = frame.select(*_columns(keys)).schema
     names = [f"worker_key_{i}" for i in range(len(keys))]
     numbered = spark.createDataFrame(
         [(*value, number) for number, value in enumerate(values)],
@@ -113,6 +122,6 @@ def _one_partition_per_key(frame: DataFrame, keys: Sequence[str], values: list[t
             [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields)] + ["worker_place int"]
         ),
     )
-    match = [F.col(quoted(k)).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    match = [key.eqNullSafe(F.col(name)) for key, name in zip(_columns(keys), names)]
     placed = frame.join(F.broadcast(numbered), match, "inner")
     return placed.repartitionById(len(values), F.col("worker_place")).drop("worker_place", *names)

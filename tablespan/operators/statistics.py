@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tablespan.operators.schema import quoted, union_all
 from tablespan.plans.predicates import Bounds, ColumnPath
-from tablespan.plans.scan import branch_frame
+from tablespan.plans.scan import BRANCH, branch_rows
 from tablespan.plans.tables import Table
 
 # The types whose smallest and largest value are reported.
@@ -108,13 +108,11 @@ def profile_branches(spark: SparkSession, table: Table, paths: Sequence[ColumnPa
     """
     if not table.branches:
         return table
-    tagged = []
-    for number, branch in enumerate(table.branches):
-        rows = branch_frame(spark, table, branch)
-        values = [
-            F.col(".".join(quoted(p) for p in path)).alias(f"v{i}") for i, path in enumerate(paths)
-        ]
-        tagged.append(rows.select(F.lit(number).alias("branch"), *values))
+    values = [
+        F.col(".".join(quoted(p) for p in path)).alias(f"v{i}") for i, path in enumerate(paths)
+    ]
+    rows = union_all(branch_rows(spark, table, list(enumerate(table.branches))))
+    tagged = rows.select(F.col(BRANCH).alias("branch"), *values)
     measures = [F.count(F.lit(1)).alias("rows")]
     for i in range(len(paths)):
         value = F.col(f"v{i}")
@@ -123,7 +121,7 @@ def profile_branches(spark: SparkSession, table: Table, paths: Sequence[ColumnPa
             F.max(value).alias(f"high{i}"),
             F.count_if(value.isNull()).alias(f"nulls{i}"),
         ]
-    measured = union_all(tagged).groupBy("branch").agg(*measures).collect()
+    measured = tagged.groupBy("branch").agg(*measures).collect()
     by_number = {row["branch"]: row for row in measured}
     branches = []
     for number, branch in enumerate(table.branches):

@@ -4,26 +4,60 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablespan.operators.schema import conform, row_id_schema, show_row_id, union_all
 from tablespan.plans.predicates import Predicate, check_required_filters, conjuncts
 from tablespan.plans.tables import Table, VersionedTable
-from tablespan.sources.branches import Branch, filter_of
+from tablespan.sources.branches import Branch
 
 
-def branch_frame(spark: SparkSession, table: Table, branch: Branch) -> DataFrame:
-    """The rows of one branch under the table's schema."""
-    frame = branch.read(spark, table.schema)
+# Fixed value: the column that says which branch a row came from.
+BRANCH = "tablespan_branch"
+
+
+def branch_rows(
+    spark: SparkSession, table: Table, branches: Sequence[tuple[int, Branch]]
+) -> list[DataFrame]:
+    """The rows of numbered branches under the table's schema, with the number as last column.
+
+    Branches over one source share a single read: a row is given out once for
+    every branch whose filter it passes, so overlapping filters keep their copies.
+    """
+    shared: dict[object, list[tuple[int, Branch]]] = {}
+    for number, branch in branches:
+        key = number if branch.source is None else branch.source
+        shared.setdefault(key, []).append((number, branch))
+    return [_read_together(spark, table, members) for members in shared.values()]
+
+
+def _read_together(
+    spark: SparkSession, table: Table, members: list[tuple[int, Branch]]
+) -> DataFrame:
+    number, first = members[0]
+    rows = first.read(spark, table.schema)
     if table.schema is not None:
-        frame = conform(frame, table.schema, f"table '{table.name}', {branch.label}")
-    return filter_of(branch, show_row_id(frame))
+        rows = conform(rows, table.schema, f"table '{table.name}', {first.label}")
+    rows = show_row_id(rows)
+    filters = [F.expr(b.filter) if b.filter else F.lit(True) for _, b in members]
+    if all(b.filter for _, b in members):
+        rows = rows.where(reduce(Column.__or__, filters))
+    if len(members) == 1:
+        return rows.withColumn(BRANCH, F.lit(number))
+    takers = [F.when(f, F.lit(n)) for f, (n, _) in zip(filters, members)]
+    return rows.select("*", F.explode(F.array_compact(F.array(*takers))).alias(BRANCH))
 
 
-def kept_branches(table: Table, where: Sequence[Predicate]) -> list[Branch]:
-    """The branches whose known value ranges can satisfy every predicate."""
-    return [b for b in table.branches if all(p.may_hold(dict(b.bounds)) for p in where)]
+def kept_branches(table: Table, where: Sequence[Predicate]) -> list[tuple[int, Branch]]:
+    """The branches, with their numbers, whose known value ranges can satisfy every predicate."""
+    return [
+        (number, branch)
+        for number, branch in enumerate(table.branches)
+        if all(p.may_hold(dict(branch.bounds)) for p in where)
+    ]
 
 
 def scan(
@@ -50,11 +84,11 @@ def scan(
     conditions = conjuncts(where)
     if not acknowledge_required_filters:
         check_required_filters(table.name, table.required_filters, conditions)
-    frames = [branch_frame(spark, table, b) for b in kept_branches(table, conditions)]
-    if not frames and table.schema is None:
-        frames = [branch_frame(spark, table, table.branches[0])]
-    if frames:
-        rows = union_all(frames)
+    kept = kept_branches(table, conditions)
+    if not kept and table.schema is None:
+        kept = [(0, table.branches[0])]
+    if kept:
+        rows = union_all(branch_rows(spark, table, kept)).drop(BRANCH)
     else:
         rows = spark.createDataFrame([], row_id_schema(table.schema))
     for condition in conditions:

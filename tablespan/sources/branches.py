@@ -11,7 +11,6 @@ from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablespan.plans.predicates import Bounds, ColumnPath
@@ -25,12 +24,13 @@ class Branch:
     ``read`` gets the session and the table's declared schema (``None`` when the
     source brings its own).  ``filter`` is SQL text over the table's columns,
     applied to this branch alone.  ``bounds`` lets a scan skip the branch.
+    Branches with equal ``source`` read the same rows and are read together.
     """
 
     label: str
     read: Callable[[SparkSession, T.StructType | None], DataFrame]
     filter: str | None = None
-    delegated: bool = False
+    source: tuple | None = None
     bounds: Mapping[ColumnPath, Bounds] = field(default_factory=dict)
 
     def filtered(self, condition: str) -> Branch:
@@ -97,7 +97,8 @@ def scan_function(function: str, *arguments: Any, **named: Any) -> Branch:
         read = lambda spark, _schema: spark.read.csv(paths)
     else:
         read = _read_iceberg(paths[0], named.get("snapshot_from_id"))
-    return Branch(f"{name}({paths[0]}{', …' if len(paths) > 1 else ''})", read, delegated=True)
+    label = f"{name}({paths[0]}{', …' if len(paths) > 1 else ''})"
+    return Branch(label, read, source=(name, *paths, *sorted(named.items())))
 
 
 def format_branch(
@@ -130,8 +131,4 @@ def frame_branch(frame: DataFrame, label: str = "frame") -> Branch:
 
 def table_branch(name: str) -> Branch:
     """Rows of another table or view of the session."""
-    return Branch(f"table({name})", lambda spark, _schema: spark.table(name))
-
-
-def filter_of(branch: Branch, frame: DataFrame) -> DataFrame:
-    return frame.where(F.expr(branch.filter)) if branch.filter else frame
+    return Branch(f"table({name})", lambda spark, _schema: spark.table(name), source=("table", name))

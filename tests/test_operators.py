@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import sys
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from tablespan.plans.predicates import at
 from tablespan.plans.scan import kept_branches, scan
 from tablespan.plans.tables import Table
 from tablespan.queries.aggregates import CommonDivisor, Spread
-from tablespan.sources.branches import frame_branch, function_branch
+from tablespan.sources.branches import frame_branch, function_branch, scan_function
 from tablespan.sources.sequences import sequence
 
 # Workers cannot import this file, so what they need of it travels with the job.
@@ -98,6 +99,29 @@ def test_measured_bounds_skip_branches_and_never_rows(spark):
     assert scan(spark, known, where=at("n") == 99).columns == ["n", "s"]
 
 
+def test_branches_over_one_source_share_a_read_and_keep_their_copies(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/p")
+    source = scan_function("read_parquet", f"{tmp_path}/p")
+    table = Table(
+        "t",
+        (source.filtered("id < 6"), source.filtered("id % 2 = 0"), source.filtered("id > null"), source),
+        T.StructType().add("id", T.LongType()),
+    )
+    rows = scan(spark, table)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    expected = sorted(
+        [i for i in range(6)] + [i for i in range(10) if i % 2 == 0] + list(range(10))
+    )
+    assert sorted(r.id for r in rows.collect()) == expected
+    assert sorted(r.id for r in scan(spark, table, where=at("id") > 5).collect()) == [6, 6, 7, 8, 8, 9]
+    known = profile_branches(spark, table, [("id",)])
+    measured = [known.branches[i].bounds[("id",)] for i in range(4)]
+    assert [(b.low, b.high, b.rows) for b in measured] == [(0, 5, 6), (0, 8, 5), (None, None, 0), (0, 9, 10)]
+    few = replace(table, branches=known.branches[:3])
+    assert [n for n, _ in kept_branches(few, [at("id") > 8])] == []
+    assert scan(spark, few, where=at("id") > 8).count() == 0
+
+
 def test_row_estimates_are_declared_or_unknown():
     branch = function_branch(sequence, 5)
     assert Table("t", (branch,)).row_estimate is None
@@ -115,6 +139,15 @@ def test_key_grouping_costs_one_exchange(spark):
     assert exchanges(laid.groupBy("k", (F.col("v") % 2).alias("p")).count()) == 1
 
 
+def test_keys_inside_structs(spark):
+    frame = spark.range(0, 400, 1, 20).selectExpr("named_struct('a', id % 4) AS s", "id")
+    laid = key_grouped(frame, [("s", "a")], 4)
+    assert exchanges(laid.groupBy("s.a").count()) == 1
+    capped = coalesce_for_workers(frame, 4, [("s", "a")])
+    assert capped.columns == ["s", "id"] and capped.rdd.getNumPartitions() == 4
+    assert capped.select("s.a", F.spark_partition_id()).distinct().count() == 4
+
+
 def test_uneven_keys_are_not_laid_out(spark):
     frame = third(spark)
     assert largest_share(frame, ["k"]) == pytest.approx(1 / 3, abs=1e-3)

@@ -28,7 +28,6 @@ def test_no_plan_pairs_everything_or_runs_python_by_row(spark, name):
         ("asof_version", ["LessThan(o_orderdate,1997-01-01T00:00)"]),
         ("asof_timestamp", ["LessThanOrEqual(ts,2024-01-15T12:00)", "partial_max_by"]),
         ("table_function_sql", ["GreaterThanOrEqual(o_orderdate,1999-01-01T00:00)"]),
-        ("window_self_join", ["WindowGroupLimit"]),
         ("topk", ["TakeOrderedAndProject"]),
         ("fn_centroids", ["partial_avg"]),
         ("diff_of_frames", ["partial_sum"]),
@@ -49,7 +48,13 @@ def test_filters_columns_and_partial_work_reach_the_scan(spark, name, parts):
 
 def test_skipped_branches_are_not_in_the_plan(spark):
     plan = plan_of(contract.queries()["branch_skipping"](spark, FOLDER))
-    assert plan.count("FileScan parquet") == 2
+    assert plan.count("FileScan parquet") == 1
+    assert "1997-01-01" in plan and "1998-01-01" in plan and "1996-01-01" not in plan
+
+
+@pytest.mark.parametrize("name", ["scan_branch_union", "branch_skipping"])
+def test_branches_of_one_file_read_it_once(spark, name):
+    assert plan_of(contract.queries()[name](spark, FOLDER)).count("FileScan parquet") == 1
 
 
 def test_python_appears_only_where_nothing_else_will_do(spark):
