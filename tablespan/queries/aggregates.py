@@ -131,13 +131,13 @@ class CommonDivisor:
 @query(
     """
     SELECT l_returnflag, round((max(q) - min(q)) * count(q) / count(*), 6) AS spread
-    FROM (SELECT l_returnflag, CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE l_extendedprice END AS q
+    FROM (SELECT l_returnflag, CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_extendedprice END AS q
           FROM lineitem) GROUP BY l_returnflag
     """
 )
 def agg_user_grouped(spark: SparkSession, folder: str) -> DataFrame:
     lines = read(spark, folder, "lineitem").select(
-        "l_returnflag", F.when(F.col("l_suppkey") % 4 != 0, F.col("l_extendedprice")).alias("q")
+        "l_returnflag", F.when(F.col("l_linestatus") != "F", F.col("l_extendedprice")).alias("q")
     )
     spread = user_aggregate(lines, ["l_returnflag"], Spread(), ["q"], "spread")
     return spread.select("l_returnflag", F.round("spread", 6).alias("spread"))

@@ -61,10 +61,11 @@ def coalesce_without_key(spark: SparkSession, folder: str) -> DataFrame:
 
 _DIFF_SQL = """
     WITH actual AS (
-      SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 <> 1
-      UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 = 2),
+      SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '5-LOW'
+      UNION ALL
+      SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority = '2-HIGH'),
     expected AS (
-      SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN NULL ELSE o_orderstatus END
+      SELECT o_orderkey, CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE o_orderstatus END
              AS o_orderstatus, o_totalprice FROM orders)
 """
 
@@ -86,23 +87,24 @@ def diff_of_frames(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _altered(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows = orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    actual = rows.where("o_orderkey % 10 <> 1").union(rows.where("o_orderkey % 10 = 2"))
-    expected = rows.withColumn(
-        "o_orderstatus", F.when(F.col("o_orderkey") % 10 != 3, F.col("o_orderstatus"))
-    )
-    return actual, expected
+    priority = F.col("o_orderpriority")
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    actual = orders.where(priority != "5-LOW").union(orders.where(priority == "2-HIGH"))
+    status = F.when(priority != "3-MEDIUM", F.col("o_orderstatus"))
+    return actual.select(*columns), orders.withColumn("o_orderstatus", status).select(*columns)
 
 
 @query(
     """
-    SELECT o_orderkey::VARCHAR AS key, CASE WHEN o_orderkey % 10 = 3 THEN 'NULL'
-           WHEN o_orderkey % 10 = 4 THEN '(empty)' ELSE o_orderstatus END AS status FROM orders
+    SELECT o_orderkey::VARCHAR AS key, CASE o_orderpriority WHEN '3-MEDIUM' THEN 'NULL'
+           WHEN '4-NOT SPECIFIED' THEN '(empty)' ELSE o_orderstatus END AS status FROM orders
     """
 )
 def diff_text_cells(spark: SparkSession, folder: str) -> DataFrame:
-    digit = F.col("o_orderkey") % 10
-    status = F.when(digit == 4, "").when(digit != 3, F.col("o_orderstatus"))
+    priority = F.col("o_orderpriority")
+    status = F.when(priority == "4-NOT SPECIFIED", "").when(
+        priority != "3-MEDIUM", F.col("o_orderstatus")
+    )
     rows = read(spark, folder, "orders").select(
         F.col("o_orderkey").alias("key"), status.alias("status")
     )

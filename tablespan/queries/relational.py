@@ -117,11 +117,11 @@ def joins(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     SELECT l_orderkey, l_linenumber, unnest(range(1, l_linenumber + 1))::INTEGER AS step
-    FROM lineitem WHERE l_quantity > 45
+    FROM lineitem
     """
 )
 def explode_sequence(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read(spark, folder, "lineitem").where("l_quantity > 45")
+    lines = read(spark, folder, "lineitem")
     steps = F.explode(F.sequence(F.lit(1), F.col("l_linenumber")))
     return lines.select("l_orderkey", "l_linenumber", steps.alias("step"))
 

@@ -142,17 +142,16 @@ def scan_text_positional(spark: SparkSession, folder: str) -> DataFrame:
     return scan(spark, Table("parts", (branch,), schema))
 
 
-@query("SELECT p_partkey AS partkey, p_name AS name, p_size AS size FROM part WHERE p_size > 25")
+@query("SELECT p_partkey AS partkey, p_name AS name, p_size AS size FROM part")
 def scan_csv_delegated(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark)
     read(spark, folder, "part").select("p_partkey", "p_name", "p_size").write.csv(path)
     rows = scan(spark, Table("parts", (scan_function("read_csv", path),)))
-    typed = rows.select(
+    return rows.select(
         F.col("_c0").cast("bigint").alias("partkey"),
         F.col("_c1").alias("name"),
         F.col("_c2").cast("int").alias("size"),
     )
-    return typed.where("size > 25")
 
 
 @query(
@@ -228,25 +227,25 @@ def _with_row_id(schema: str, name: str) -> T.StructType:
     return T.StructType(fields)
 
 
-@query("SELECT c_custkey AS rowid, c_name AS name FROM customer WHERE c_custkey % 7 = 3")
+@query("SELECT c_custkey AS rowid, c_name AS name FROM customer")
 def rowid_scan(spark: SparkSession, folder: str) -> DataFrame:
     schema = _with_row_id("custkey bigint, name string", "custkey")
     source = frame_branch(read(spark, folder, "customer").select("c_custkey", "c_name"))
-    return scan(spark, Table("customers", (source,), schema)).where("rowid % 7 = 3")
+    return scan(spark, Table("customers", (source,), schema))
 
 
 @query(
     """
     SELECT o_custkey AS a, 's_' || CAST(o_orderkey AS VARCHAR) AS b, o_totalprice AS price
-    FROM orders WHERE o_custkey >= 100
+    FROM orders WHERE o_custkey <> o_orderkey
     """
 )
 def rowid_struct(spark: SparkSession, folder: str) -> DataFrame:
     schema = _with_row_id("id struct<a: bigint, b: string>, price double", "id")
     key = F.struct("o_custkey", F.concat(F.lit("s_"), F.col("o_orderkey").cast("string")))
     source = frame_branch(read(spark, folder, "orders").select(key, "o_totalprice"))
-    rows = scan(spark, Table("orders", (source,), schema), where=at("rowid", "a") >= 100)
-    return rows.select("rowid.a", "rowid.b", "price")
+    rows = scan(spark, Table("orders", (source,), schema), where=at("rowid", "a").is_not_null())
+    return rows.where("concat('s_', rowid.a) <> rowid.b").select("rowid.a", "rowid.b", "price")
 
 
 def orders_history(folder: str) -> VersionedTable:
@@ -452,15 +451,15 @@ def required_filter_struct(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey <= 10 OR l_suppkey > 90
+    SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_quantity <= 10 OR l_quantity > 40
     GROUP BY l_suppkey
     """
 )
 def required_filter_groups(spark: SparkSession, folder: str) -> DataFrame:
     """One of two columns must be filtered; an OR over one column counts as a filter on it."""
     source = scan_function("read_parquet", path_of(folder, "lineitem"))
-    table = Table("lineitem", (source,), required_filters=((("l_partkey",), ("l_suppkey",)),))
-    rows = scan(spark, table, where=(at("l_suppkey") <= 10) | (at("l_suppkey") > 90))
+    table = Table("lineitem", (source,), required_filters=((("l_shipdate",), ("l_quantity",)),))
+    rows = scan(spark, table, where=(at("l_quantity") <= 10.0) | (at("l_quantity") > 40.0))
     return rows.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -525,13 +524,13 @@ def filter_nulls(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY l_suppkey
+    SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey
     """
 )
 def required_filter_parent(spark: SparkSession, folder: str) -> DataFrame:
     """A filter on a struct counts for a required path inside it."""
-    even = F.col("l_suppkey") % 2 == 0
-    inner = F.when(even, F.struct(F.col("l_suppkey").alias("leaf")))
+    returned = F.col("l_returnflag") == "R"
+    inner = F.when(returned, F.struct(F.col("l_shipdate").alias("leaf")))
     lines = read(spark, folder, "lineitem").select(inner.alias("wrapper"), "l_suppkey")
     table = Table(
         "lines", (frame_branch(lines),), lines.schema, required_filters=((("wrapper", "leaf"),),)

@@ -7,13 +7,23 @@ import __spark_entry__ as contract
 FOLDER = "/root/testdata/sf0.001"
 
 
-def plan_of(frame):
-    return frame._jdf.queryExecution().executedPlan().toString()
+@pytest.fixture(scope="module")
+def plans(spark):
+    """The initial physical plan of each registered query, worked out once."""
+    # The tree form cuts long lists of filters short unless told otherwise.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        return {
+            name: query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+            for name, query in contract.queries().items()
+        }
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_plan_pairs_everything_or_runs_python_by_row(spark, name):
-    plan = plan_of(contract.queries()[name](spark, FOLDER))
+def test_no_plan_pairs_everything_or_runs_python_by_row(plans, name):
+    plan = plans[name]
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "FlatMapGroups"):
         assert bad not in plan
 
@@ -33,37 +43,25 @@ def test_no_plan_pairs_everything_or_runs_python_by_row(spark, name):
         ("diff_of_frames", ["partial_sum"]),
     ],
 )
-def test_filters_columns_and_partial_work_reach_the_scan(spark, name, parts):
-    frame = contract.queries()[name](spark, FOLDER)
-    # The tree form cuts long lists of filters short.
-    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    try:
-        plan = plan_of(contract.queries()[name](spark, FOLDER))
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert frame.columns
+def test_filters_columns_and_partial_work_reach_the_scan(plans, name, parts):
     for part in parts:
-        assert part in plan
+        assert part in plans[name]
 
 
-def test_skipped_branches_are_not_in_the_plan(spark):
-    plan = plan_of(contract.queries()["branch_skipping"](spark, FOLDER))
+def test_skipped_branches_are_not_in_the_plan(plans):
+    plan = plans["branch_skipping"]
     assert plan.count("FileScan parquet") == 1
     assert "1997-01-01" in plan and "1998-01-01" in plan and "1996-01-01" not in plan
 
 
 @pytest.mark.parametrize("name", ["scan_branch_union", "branch_skipping"])
-def test_branches_of_one_file_read_it_once(spark, name):
-    assert plan_of(contract.queries()[name](spark, FOLDER)).count("FileScan parquet") == 1
+def test_branches_of_one_file_read_it_once(plans, name):
+    assert plans[name].count("FileScan parquet") == 1
 
 
-def test_python_appears_only_where_nothing_else_will_do(spark):
+def test_python_appears_only_where_nothing_else_will_do(plans):
     marks = ("Python", "MapInArrow")
-    users = {
-        name
-        for name, query in contract.queries().items()
-        if any(mark in plan_of(query(spark, FOLDER)) for mark in marks)
-    }
+    users = {name for name, plan in plans.items() if any(mark in plan for mark in marks)}
     assert users == {
         "scan_text_branch",
         "agg_user_grouped",
