@@ -52,42 +52,55 @@ _REAL_TYPES = (T.FloatType, T.DoubleType)
 _INTEGER_PATTERN = "^[+-]?[0-9]+$"
 
 
-def _typed(cell: Column, field: T.StructField) -> Column:
-    """The text of one cell as the declared type; unreadable numbers raise."""
+def _pattern(delimiter: str) -> str:
+    """The delimiter as a regular expression Java can split by without a regex engine."""
+    return delimiter if delimiter.isalnum() else "\\" + delimiter
+
+
+def _parsed(cell: Column, field: T.StructField) -> Column:
+    """The text of one cell as the declared type, NULL where it cannot be read."""
     kind = field.dataType
     if isinstance(kind, T.StringType):
         return cell
     if isinstance(kind, T.BooleanType):
         return F.lower(cell) == F.lit("true")
-    if not isinstance(kind, _INTEGER_TYPES + _REAL_TYPES):
-        raise TypeError(f"column '{field.name}': text cannot be read as {kind.simpleString()}")
-    value = cell.try_cast(kind)
-    unreadable = value.isNull()
     if isinstance(kind, _INTEGER_TYPES):
-        unreadable = unreadable | ~cell.rlike(_INTEGER_PATTERN)
-    message = F.concat(
-        F.lit(f"column '{field.name}': not a {kind.simpleString()}: "), cell
-    )
-    return (
-        F.when(cell.isNull(), F.lit(None).cast(kind))
-        .when(unreadable, F.raise_error(message).cast(kind))
-        .otherwise(value)
-    )
+        # Spark would also read an integer with blanks around it.
+        return F.when(cell.rlike(_INTEGER_PATTERN), cell.try_cast(kind))
+    if isinstance(kind, _REAL_TYPES):
+        return cell.try_cast(kind)
+    raise TypeError(f"column '{field.name}': text cannot be read as {kind.simpleString()}")
+
+
+def _checked(cell: Column, value: Column, field: T.StructField) -> Column:
+    """The value; raises where a number was given that could not be read."""
+    kind = field.dataType
+    if not isinstance(kind, _INTEGER_TYPES + _REAL_TYPES):
+        return value
+    message = F.concat(F.lit(f"column '{field.name}': not a {kind.simpleString()}: "), cell)
+    unreadable = value.isNull() & cell.isNotNull()
+    return F.when(unreadable, F.raise_error(message).cast(kind)).otherwise(value)
 
 
-def _cells(lines: DataFrame, schema: T.StructType, places: list[int | None], options: TextOptions):
-    pattern = "\\Q" + options.delimiter + "\\E"
-    cells = F.split(F.col("value"), pattern, -1)
-    columns = []
-    for field, place in zip(schema.fields, places):
-        if place is None:
-            cell = F.lit(None).cast("string")
-        else:
-            cell = F.get(cells, F.lit(place))
-            blank = "" if options.null_text is None else options.null_text
-            cell = F.nullif(cell, F.lit(blank))
-        columns.append(_typed(cell, field).alias(field.name, metadata=field.metadata))
-    return lines.select(*columns)
+def _cells(
+    lines: DataFrame, schema: T.StructType, places: list[int | None], options: TextOptions
+) -> DataFrame:
+    """Split each line once, take the cells, parse them, check them.
+
+    Each step is a projection of its own: Spark merges projections only where
+    that repeats no work, while one big expression would split the line anew
+    for every use of a cell.
+    """
+    cells = lines.select(F.split("value", _pattern(options.delimiter), -1).alias("cells"))
+    blank = "" if options.null_text is None else options.null_text
+    taken, parsed, checked = [], ["*"], []
+    for i, (field, place) in enumerate(zip(schema.fields, places)):
+        text = F.lit(None).cast("string") if place is None else F.get("cells", F.lit(place))
+        taken.append(F.nullif(text, F.lit(blank)).alias(f"cell_{i}"))
+        parsed.append(_parsed(F.col(f"cell_{i}"), field).alias(f"value_{i}"))
+        value = _checked(F.col(f"cell_{i}"), F.col(f"value_{i}"), field)
+        checked.append(value.alias(field.name, metadata=field.metadata))
+    return cells.select(*taken).select(*parsed).select(*checked)
 
 
 def _begins_file(
