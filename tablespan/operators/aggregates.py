@@ -51,8 +51,10 @@ class Aggregate(Protocol):
         """The state of no rows at all."""
 
 
-# How many states a task holds before it passes them on, and over
-# how many shares the states of one group are spread for combining.
+# How many rows are worked on at once, how many states a task holds
+# before it passes them on, and over how many shares the states of one group are
+# spread for combining.
+ROWS_AT_ONCE = 100_000
 STATES_PER_TASK = 100_000
 SHARES = 32
 
@@ -88,21 +90,24 @@ def user_aggregate(
     def fold(batches: Iterator[pa.RecordBatch], prepare: Callable) -> Iterator[pa.RecordBatch]:
         parts: list[pd.DataFrame] = []
         waiting = 0
-        for batch in batches:
-            if batch.num_rows:
-                parts.append(combined(prepare(batch)))
-                waiting += len(parts[-1])
-            if waiting >= STATES_PER_TASK:
-                parts = [combined(pd.concat(parts, ignore_index=True))]
-                waiting = len(parts[0])
-                if waiting >= STATES_PER_TASK // 2:
-                    yield _record(parts[0], held_arrow)
-                    parts, waiting = [], 0
+        for batch in _gathered(batches):
+            parts.append(combined(prepare(batch)))
+            waiting += len(parts[-1])
+            if waiting < STATES_PER_TASK:
+                continue
+            parts = [together(parts)]
+            waiting = len(parts[0])
+            if waiting >= STATES_PER_TASK // 2:
+                yield _record(parts[0], held_arrow)
+                parts, waiting = [], 0
         if parts:
-            yield _record(combined(pd.concat(parts, ignore_index=True)), held_arrow)
+            yield _record(together(parts), held_arrow)
+
+    def together(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        return parts[0] if len(parts) == 1 else combined(pd.concat(parts, ignore_index=True))
 
     def first_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def prepare(batch: pa.RecordBatch) -> pd.DataFrame:
+        def prepare(batch: pa.Table) -> pd.DataFrame:
             rows = _frame(batch)
             states = function.start(rows[[f"{_ARGUMENT}{a}" for a in arguments]].set_axis(
                 list(arguments), axis=1
@@ -125,9 +130,7 @@ def user_aggregate(
 
         # Sorted by key: only the last group of a batch can go on in the next one.
         open_group: pd.DataFrame | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _gathered(batches):
             states = _frame(batch)
             if open_group is not None:
                 states = pd.concat([open_group, states], ignore_index=True)
@@ -164,7 +167,21 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return pa.schema([arrow_field(f.name, f.dataType, f.nullable) for f in schema.fields])
 
 
-def _frame(batch: pa.RecordBatch) -> pd.DataFrame:
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in fewer and larger pieces, as pandas has a fixed cost per piece; none is empty."""
+    waiting: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        waiting.append(batch)
+        rows += batch.num_rows
+        if rows >= ROWS_AT_ONCE:
+            yield pa.Table.from_batches(waiting)
+            waiting, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(waiting)
+
+
+def _frame(batch: pa.Table) -> pd.DataFrame:
     return batch.to_pandas(types_mapper=pd.ArrowDtype)
 
 
