@@ -103,7 +103,8 @@ def profile_branches(spark: SparkSession, table: Table, paths: Sequence[ColumnPa
     """The same table with measured value ranges on every branch.
 
     One job reads only the named columns of all branches and returns one row per
-    branch.  Keep the result (it is plain data) and scan it as often as the
+    branch.  Zoned timestamps get counts but no range: on the driver they are local
+    times, whose order breaks when clocks are set back.  Keep the result (it is plain data) and scan it as often as the
     sources stay unchanged.
     """
     if not table.branches:
@@ -116,9 +117,10 @@ def profile_branches(spark: SparkSession, table: Table, paths: Sequence[ColumnPa
     measures = [F.count(F.lit(1)).alias("rows")]
     for i in range(len(paths)):
         value = F.col(f"v{i}")
+        zoned = isinstance(tagged.schema[f"v{i}"].dataType, T.TimestampType)
         measures += [
-            F.min(value).alias(f"low{i}"),
-            F.max(value).alias(f"high{i}"),
+            (F.lit(None) if zoned else F.min(value)).alias(f"low{i}"),
+            (F.lit(None) if zoned else F.max(value)).alias(f"high{i}"),
             F.count_if(value.isNull()).alias(f"nulls{i}"),
         ]
     measured = tagged.groupBy("branch").agg(*measures).collect()

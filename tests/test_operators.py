@@ -99,6 +99,14 @@ def test_measured_bounds_skip_branches_and_never_rows(spark):
     assert scan(spark, known, where=at("n") == 99).columns == ["n", "s"]
 
 
+def test_zoned_timestamps_have_no_measured_range(spark):
+    moments = spark.sql("SELECT TIMESTAMP '2024-01-01 00:00:00Z' AS t UNION ALL SELECT null")
+    known = profile_branches(spark, Table("t", (frame_branch(moments),), moments.schema), [("t",)])
+    bounds = known.branches[0].bounds[("t",)]
+    assert (bounds.low, bounds.high, bounds.nulls, bounds.rows) == (None, None, 1, 2)
+    assert kept_branches(known, [at("t") > dt.datetime(2030, 1, 1)])
+
+
 def test_branches_over_one_source_share_a_read_and_keep_their_copies(spark, tmp_path):
     spark.range(10).write.parquet(f"{tmp_path}/p")
     source = scan_function("read_parquet", f"{tmp_path}/p")
