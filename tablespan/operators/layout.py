@@ -102,16 +102,21 @@ def coalesce_for_workers(
         raise ValueError("the worker cap must be at least 1")
     if keys:
         columns = _columns(keys)
-        counts = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
-        found = counts.limit(cap + 1).collect()
-        rows = sum(row["rows"] for row in found)
-        even = all(row["rows"] * cap <= skew_limit * rows for row in found)
-        if found and len(found) <= cap and even:
-            return _one_partition_per_key(frame, keys, [tuple(row)[:-1] for row in found])
+        # A sketch tells far too many keys apart from few without shuffling them.
+        sketched = frame.agg(F.approx_count_distinct(F.struct(*columns))).first()[0]
+        if sketched <= 2 * cap:
+            counts = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+            found = counts.limit(cap + 1).collect()
+            rows = sum(row["rows"] for row in found)
+            even = all(row["rows"] * cap <= skew_limit * rows for row in found)
+            if found and len(found) <= cap and even:
+                return _one_partition_per_key(frame, keys, [tuple(row)[:-1] for row in found])
     return frame.coalesce(cap)
 
 
-def _one_partition_per_key(frame: DataFrame, keys: Sequence[Key], values: list[tuple]) -> DataFrame:
+def _one_partition_per_key(
+    frame: DataFrame, keys: Sequence[Key], values: list[tuple]
+) -> DataFrame:
     """``values`` is no longer than the worker cap, which bounds what is broadcast."""
     spark = frame.sparkSession
     fields = frame.select(*_columns(keys)).schema

@@ -68,6 +68,15 @@ def test_quotes_and_pattern_characters_mean_nothing(spark, tmp_path):
     assert [r.label for r in rows] == ['"a', 'b"']
 
 
+@pytest.mark.parametrize("delim", ["\t", "^", "\\", "_", " ", "$", "*", "x", "§", "\x01", '"', "'"])
+@pytest.mark.parametrize("header", [True, False])
+def test_any_single_character_delimits(spark, tmp_path, delim, header):
+    first = f"n{delim}label\n" if header else ""
+    path = text(tmp_path, "f.csv", f"{first}1{delim}a{delim}\n2{delim}{delim}b\n")
+    rows = scan(spark, text_table([path], delim=delim, header=header)).collect()
+    assert [tuple(r) for r in rows] == [(1, "a"), (2, None)]
+
+
 def test_empty_and_header_only_files(spark, tmp_path):
     empty, bare = text(tmp_path, "e.csv", ""), text(tmp_path, "h.csv", "n,label\n")
     assert scan(spark, text_table([empty], header=True)).count() == 0
