@@ -133,7 +133,8 @@ class Function:
         for kind in types:
             _refuse_map(kind)
         chosen = self.choose(types)
-        typed = [_typed(c, t, p) for c, t, p in zip(columns, types, _parameters(chosen, len(types)))]
+        parameters = _parameters(chosen, len(types))
+        typed = [_typed(c, t, p) for c, t, p in zip(columns, types, parameters)]
         value = chosen.build(*typed)
         return value if chosen.special_nulls else null_strict(typed, value)
 

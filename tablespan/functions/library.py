@@ -29,7 +29,12 @@ class Library:
         self.default_namespace = default_namespace
         self._held: dict[tuple[str, Namespace, str], tuple[str, Any]] = {}
 
-    def add(self, name: str, function: Function | Aggregate | TableFunction, namespace=None) -> None:
+    def add(
+        self,
+        name: str,
+        function: Function | Aggregate | TableFunction,
+        namespace: Namespace | None = None,
+    ) -> None:
         """Add a function; of several aggregates with one name the first is kept."""
         key = (_kind(function), tuple(namespace or self.default_namespace), name.lower())
         if key in self._held and key[0] != "aggregate":

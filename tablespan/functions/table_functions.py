@@ -38,7 +38,9 @@ class TableFunction:
     def __post_init__(self) -> None:
         for name, kind in self.parameters:
             if type(kind) not in _PYTHON_TYPES:
-                raise TypeError(f"{self.name}: parameter '{name}' cannot be a {kind.simpleString()}")
+                raise TypeError(
+                    f"{self.name}: parameter '{name}' cannot be a {kind.simpleString()}"
+                )
 
     def call(self, spark: SparkSession, *arguments: Any) -> DataFrame:
         """Check the arguments against the declared parameters and build the result."""

@@ -51,7 +51,8 @@ def group_centroids(
     """
     groups = [F.col(quoted(k)) for k in keys]
     cells = frame.select(*groups, F.posexplode(F.col(quoted(vector))).alias("position", "value"))
-    means = cells.groupBy(*groups, "position").agg(F.avg(F.col("value").cast("double")).alias("mean"))
+    mean = F.avg(F.col("value").cast("double"))
+    means = cells.groupBy(*groups, "position").agg(mean.alias("mean"))
     gathered = means.groupBy(*groups).agg(
         F.array_sort(F.collect_list(F.struct("position", "mean"))).alias("means")
     )

@@ -84,7 +84,8 @@ def conform(frame: DataFrame, schema: T.StructType, owner: str = "table") -> Dat
     actual = frame.schema.fields
     if len(actual) != len(schema.fields):
         raise ValueError(
-            f"{owner}: source has {len(actual)} columns, the declared schema has {len(schema.fields)}"
+            f"{owner}: source has {len(actual)} columns, "
+            f"the declared schema has {len(schema.fields)}"
         )
     columns = [
         _conformed(F.col(quoted(a.name)), a.dataType, d, owner).alias(d.name, metadata=d.metadata)

@@ -104,8 +104,8 @@ def profile_branches(spark: SparkSession, table: Table, paths: Sequence[ColumnPa
 
     One job reads only the named columns of all branches and returns one row per
     branch.  Zoned timestamps get counts but no range: on the driver they are local
-    times, whose order breaks when clocks are set back.  Keep the result (it is plain data) and scan it as often as the
-    sources stay unchanged.
+    times, whose order breaks when clocks are set back.  Keep the result (it is
+    plain data) and scan it as often as the sources stay unchanged.
     """
     if not table.branches:
         return table

@@ -33,8 +33,8 @@ class Catalog:
     def namespaces(self, parent: Namespace = ()) -> list[Namespace]:
         """The namespaces exactly one level below ``parent``."""
         level = len(parent) + 1
-        below = {ns[:level] for ns, _ in self._tables if len(ns) >= level and ns[: level - 1] == parent}
-        return sorted(below)
+        known = {ns for ns, _ in self._tables if len(ns) >= level}
+        return sorted({ns[:level] for ns in known if ns[: level - 1] == parent})
 
     def tables(self, namespace: Namespace | None = None) -> list[str]:
         wanted = namespace or self.default_namespace

@@ -50,7 +50,8 @@ def _read_together(
     takers = [F.when(f, F.lit(n)) for f, (n, _) in zip(filters, members)]
     # Dropping the misses after the explode keeps the whole step in generated code,
     # which dropping them inside the array does not.
-    return rows.select("*", F.explode(F.array(*takers)).alias(BRANCH)).where(f"{BRANCH} IS NOT NULL")
+    given_out = rows.select("*", F.explode(F.array(*takers)).alias(BRANCH))
+    return given_out.where(F.col(BRANCH).isNotNull())
 
 
 def kept_branches(table: Table, where: Sequence[Predicate]) -> list[tuple[int, Branch]]:

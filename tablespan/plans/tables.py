@@ -34,7 +34,9 @@ class Table:
         if self.planning not in ("bind", "filtered"):
             raise ValueError(f"table '{self.name}': unknown planning '{self.planning}'")
         if not self.branches and self.planning != "filtered":
-            raise ValueError(f"table '{self.name}': no branches; only a filtered table may be empty")
+            raise ValueError(
+                f"table '{self.name}': no branches; only a filtered table may be empty"
+            )
         if self.schema is None and len(self.branches) != 1:
             raise ValueError(f"table '{self.name}': a declared schema is needed")
 

@@ -1,4 +1,4 @@
-"""Function calls: settings, NULLs, overloads, nested values, distances, tensors, table functions."""
+"""Function calls: settings, NULLs, overloads, nested values, vectors, tensors, table functions."""
 
 from __future__ import annotations
 

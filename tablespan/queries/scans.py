@@ -339,6 +339,7 @@ def _numbers_apart(statistics: DataFrame) -> DataFrame:
     """Text bounds and numeric bounds in columns of their own, so engines print them alike."""
     is_text = F.col("data_type") == "string"
     bound = lambda name: F.col(f"{name}_value")
+    number = lambda name: F.when(~is_text, bound(name)).try_cast("double")
     return statistics.select(
         "column_name",
         "data_type",
@@ -346,7 +347,7 @@ def _numbers_apart(statistics: DataFrame) -> DataFrame:
         "null_count",
         "distinct_count",
         *[F.when(is_text, bound(n)).alias(f"{n}_text") for n in ("min", "max")],
-        *[F.when(~is_text, bound(n)).try_cast("double").alias(f"{n}_number") for n in ("min", "max")],
+        *[number(n).alias(f"{n}_number") for n in ("min", "max")],
         "max_length",
     )
 
@@ -386,7 +387,7 @@ def column_statistics_approx(spark: SparkSession, folder: str) -> DataFrame:
     """The sketched distinct counts lie within a tenth of the exact ones."""
     lines = read(spark, folder, "lineitem")
     sketched = column_statistics(lines, _KEYS, distinct="approx")
-    exact = column_statistics(lines, _KEYS).select("column_name", F.col("distinct_count").alias("n"))
+    exact = column_statistics(lines, _KEYS).selectExpr("column_name", "distinct_count AS n")
     off = F.abs(F.col("distinct_count") - F.col("n"))
     return sketched.join(exact, "column_name").select(
         "column_name", "row_count", (off * 10 <= F.col("n")).alias("close")

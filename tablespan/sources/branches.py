@@ -131,4 +131,5 @@ def frame_branch(frame: DataFrame, label: str = "frame") -> Branch:
 
 def table_branch(name: str) -> Branch:
     """Rows of another table or view of the session."""
-    return Branch(f"table({name})", lambda spark, _schema: spark.table(name), source=("table", name))
+    read = lambda spark, _schema: spark.table(name)
+    return Branch(f"table({name})", read, source=("table", name))
