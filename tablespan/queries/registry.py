@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tablespan.plans.tables import Table
 from tablespan.sources.branches import scan_function
+from tablespan.sources.shared import kept, new_folder
+
+__all__ = ["ORACLES", "QUERIES", "given", "kept", "new_folder", "path_of", "query", "read"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,18 +44,3 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def given(folder: str, table: str) -> Table:
     """One of the given tables as a table of a single delegated branch."""
     return Table(table, (scan_function("read_parquet", path_of(folder, table)),))
-
-
-def new_folder(spark: SparkSession) -> str:
-    """A fresh path in the folder the cluster shares; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{shared.rstrip('/')}/tablespan-{uuid.uuid4().hex}"
-
-
-def kept(spark: SparkSession, frame: DataFrame) -> DataFrame:
-    """The frame written once to the shared folder, for results that are read more than once."""
-    path = new_folder(spark)
-    frame.write.parquet(path)
-    return spark.read.parquet(path)
