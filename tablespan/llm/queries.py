@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from tablespan.llm import packing, warc  # noqa: F401
+from tablespan.llm import packing, secrets, warc  # noqa: F401
 from tablespan.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
