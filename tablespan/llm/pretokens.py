@@ -125,7 +125,7 @@ class Encoder:
         ends = np.cumsum(self.token_bytes[together])
         cuts = np.searchsorted(ends, np.cumsum([len(pieces[i].encode()) for i in apart]), side="left") + 1
         out: list[bytes] = [b""] * len(pieces)
-        for i, a, b in zip(apart, np.append(0, cuts[:-1]).tolist(), cuts.tolist(), strict=True):
+        for i, a, b in zip(apart, [0, *cuts.tolist()], cuts.tolist(), strict=False):
             out[i] = together[a:b].tobytes()
         for i, ids in enumerate(out):
             if not ids:

@@ -1,0 +1,90 @@
+import base64
+import hashlib
+import struct
+
+import pytest
+import zstandard
+
+from tablespan.llm import warc
+from tests.llm.frames import SMALL, given
+
+
+def expected(pages):
+    groups = {}
+    for p in pages:
+        groups.setdefault((p["html"] or "").encode(), []).append(p["page_id"])
+    rows = []
+    for p in pages:
+        payload = (p["html"] or "").encode()
+        ids = [i for i in groups[payload] if i is not None]
+        last = max(ids) if ids else None
+        other = last is not None and p["page_id"] != last
+        rows.append((p["page_id"], len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(), "revisit" if other else "response", last if other else None))
+    return sorted(rows, key=repr)
+
+
+def actual(frame):
+    return sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in frame.collect()], key=repr)
+
+
+def test_query_on_given_pages(spark):
+    assert actual(warc.op7_warc(spark, SMALL)) == expected(given("pages"))
+
+
+def test_odd_pages(spark, tmp_path):
+    pages = [
+        {"page_id": 1, "url": None, "html": None},
+        {"page_id": 2, "url": "http://a/ b\r\nX: y", "html": ""},
+        {"page_id": 9, "url": "u", "html": "same"},
+        {"page_id": 9, "url": "u", "html": "same"},
+        {"page_id": 3, "url": "u", "html": "same"},
+        {"page_id": None, "url": "u", "html": "same"},
+        {"page_id": None, "url": "u", "html": "alone\r\n\r\nwith breaks"},
+        {"page_id": 4, "url": "ü", "html": "long é " * 400_000},
+    ]
+    frame = spark.createDataFrame([(p["page_id"], p["url"], p["html"], "x", "y") for p in pages], "page_id long, url string, html string, sha1 string, rank string")
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    assert actual(warc.op7_warc(spark, str(tmp_path))) == expected(pages)
+
+
+def test_no_pages(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert warc.op7_warc(spark, str(tmp_path)).count() == 0
+
+
+def archive(spark):
+    pages = spark.createDataFrame([(i, "u", f"<p>page {i % 7}</p>" * 30) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    return warc.write_archives(warc.marked(pages, "page_id", "url", "html")).collect()
+
+
+def test_archive_format_and_round_trip(spark):
+    (row, *more) = archive(spark)
+    assert not more
+    magic, size = struct.unpack_from("<II", row.content)
+    assert magic == warc.DICTIONARY_FRAME
+    assert zstandard.ZstdDecompressor().decompress(bytes(row.content[8 : 8 + size]))
+    back = warc.read_archives(spark.createDataFrame([row])).collect()
+    assert len(back) == 40 and all(r.error is None for r in back)
+    assert sum(r.record_type == "response" for r in back) == 7
+    assert all(bytes(r.payload).decode().startswith("<p>page") for r in back if r.record_type == "response")
+
+
+@pytest.mark.parametrize("spoil", [lambda c: c[:-3], lambda c: c[:-40] + b"x" + c[-39:], lambda c: c + b"tail"])
+def test_damaged_archives(spark, spoil):
+    (row,) = archive(spark)
+    broken = spark.createDataFrame([(row.archive, bytearray(spoil(bytes(row.content))))], "archive string, content binary")
+    with pytest.raises(Exception, match="part-"):
+        warc.read_archives(broken).collect()
+    assert any(r.error for r in warc.read_archives(broken, strict=False).collect())
+
+
+def test_records_that_lie():
+    good = warc._record("1", "u", b"body", hashlib.sha1(b"body").hexdigest(), None)
+    assert warc._parsed(good)["payload_bytes"] == 4
+    for bad in (good.replace(b"body", b"bodx"), good.replace(b"Content-Length: 4", b"Content-Length: 5"), good.replace(b"WARC/1.1", b"WARD/1.1"), good[:-4], good.replace(b"WARC-Date", b"WARC-Data")):
+        with pytest.raises(ValueError):
+            warc._parsed(bad)
+
+
+def test_null_and_empty_archives(spark):
+    assert warc.read_archives(spark.createDataFrame([("a", None), ("b", bytearray())], "archive string, content binary")).count() == 0
