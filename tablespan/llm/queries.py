@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from tablespan.llm import decontamination, packing, personal, rules, secrets, warc  # noqa: F401
+from tablespan.llm import decontamination, language, packing, personal, rules, secrets, warc  # noqa: F401
 from tablespan.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
