@@ -19,13 +19,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablespan.llm.registry import query, read
+from tablespan.llm.tables import added_up
 from tablespan.llm.words import Block, as_bytes, blocks, class_table
 from tablespan.sources.shared import kept
 
@@ -33,8 +32,6 @@ ROWS = 1 << 14  # of the table of vectors
 SIZE = 32  # of a vector
 NONZERO = 6  # entries of a token's own random vector
 REACH = 2  # neighbours on each side
-CHUNK = 1 << 9  # rows of the table that travel together
-FAN_IN = 256  # partial tables that one task adds up
 
 TRAIN_DOCS = 20_000
 HIDDEN = 32
@@ -88,38 +85,18 @@ def _added(table: np.ndarray, rows: np.ndarray, bounds: np.ndarray, own: np.ndar
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The context vectors of all table rows over all documents, each of length one.
 
-    Each task adds up a table of the fixed size; tables are summed in chunks, at most FAN_IN in one
-    group at first. What the driver gets is one table.
+    Each task fills a table of the fixed size, and Spark adds the tables up.
     """
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, table, any_rows = random_vectors(), np.zeros((ROWS, SIZE), dtype=np.float32), False
+    def fill(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> None:
+        own, sums = random_vectors(), table.reshape(ROWS, SIZE)
         for given in batches:
             for block in blocks(as_bytes(given.column("text")), lower=False):
                 rows, bounds = tokens(block)
                 if len(rows) > 1:
-                    _added(table, rows, bounds, own)
-                    any_rows = True
-        if any_rows:
-            part = TaskContext.get().partitionId()
-            n = ROWS // CHUNK
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(n), pa.int32()), pa.array([part // FAN_IN] * n, pa.int32()), pa.array([table[i * CHUNK : (i + 1) * CHUNK].tobytes() for i in range(n)], pa.binary())],
-                names=["chunk", "salt", "sums"],
-            )
-
-    def total(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(CHUNK * SIZE, dtype=np.float32)
-        for sums in frame.sums:
-            out += np.frombuffer(sums, dtype=np.float32)
-        return pd.DataFrame({"chunk": [key[0]], "salt": [0], "sums": [out.tobytes()]})
-
-    schema = "chunk int, salt int, sums binary"
-    parts = docs.select("text").mapInArrow(add, schema)
-    parts = parts.groupBy("chunk", "salt").applyInPandas(total, schema).groupBy("chunk").applyInPandas(total, schema)
-    table = np.zeros((ROWS, SIZE), dtype=np.float32)
-    for row in parts.collect():
-        table[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(bytes(row.sums), dtype=np.float32).reshape(CHUNK, SIZE)
+                    _added(sums, rows, bounds, own)
+
+    table = added_up(docs.select("text"), fill, ROWS * SIZE, "float32").reshape(ROWS, SIZE)
     return table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-6)
 
 
