@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from tablespan.llm import decontamination, jaccard, language, packing, personal, quality, rules, secrets, warc  # noqa: F401
+from tablespan.llm import decontamination, jaccard, language, packing, personal, quality, rules, secrets, substrings, warc  # noqa: F401
 from tablespan.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
