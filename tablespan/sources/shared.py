@@ -3,11 +3,34 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_open_lists: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """A list that gets the path of every folder made meanwhile, so that its owner can drop them."""
+    folders: list[str] = []
+    _open_lists.append(folders)
+    try:
+        yield folders
+    finally:
+        _open_lists.remove(folders)
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders that `new_folder` made; what reads them must be done."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession) -> str:
     """A fresh path under `spark.checkpoint.dir`, or under the warehouse where that is unset.
 
@@ -19,7 +42,10 @@ def new_folder(spark: SparkSession) -> str:
         local = urlparse(shared).scheme in ("", "file")
         if local and not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{shared.rstrip('/')}/tablespan-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/tablespan-{uuid.uuid4().hex}"
+    for folders in _open_lists:
+        folders.append(path)
+    return path
 
 
 def kept(spark: SparkSession, frame: DataFrame) -> DataFrame:
