@@ -1,7 +1,10 @@
 """The documents of a corpus, from raw text to packed sequences.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
-again as the next stage's documents.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
+again as the next stage's documents. All but the last return the columns of the documents.
+
+A stage's intermediate tables are needed until its result is written. They are dropped when the next stage
+begins, whose documents are that written result; a stage whose documents still read them leaves them.
 """
 
 from __future__ import annotations
@@ -10,11 +13,73 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablespan.sources.shared import kept
+from tablespan.llm.decontamination import clean
+from tablespan.llm.jaccard import first_of_each
+from tablespan.llm.language import in_known_languages
+from tablespan.llm.packing import packed
+from tablespan.llm.personal import masked
+from tablespan.sources.shared import drop_folders, kept, recorded
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+_finished: list[str] = []
+
+
+def _stage(work: Stage) -> Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if _finished and not _reads(docs, _finished):
+            drop_folders(spark, _finished)
+        _finished.clear()
+        with recorded() as folders:
+            result = work(spark, docs, sf_dir)
+        _finished.extend(folders)
+        return result
+
+    return run_stage
+
+
+def _reads(docs: DataFrame, folders: list[str]) -> bool:
+    names = {folder.rsplit("/", 1)[-1] for folder in folders}
+    return any(name in file for file in docs.inputFiles() for name in names)
+
+
+@_stage
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language, or with an unsure one, go."""
+    return in_known_languages(spark, docs)
+
+
+@_stage
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return first_of_each(spark, docs)
+
+
+@_stage
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with too many words of the benchmark's passages go."""
+    return clean(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@_stage
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts is masked."""
+    return masked(spark, docs)
+
+
+@_stage
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences, with their token ids."""
+    return packed(spark, docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
 #: No SQL expresses the stages; they are tested against brute force.
 ORACLE_SQL = None
@@ -22,8 +87,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for n, (_, stage) in enumerate(STAGES):
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
-        if n < len(STAGES) - 1:
+        if name != STAGES[-1][0]:
             docs = kept(spark, docs)
     return docs

@@ -35,9 +35,10 @@ WINDOW_WORDS = 13
 CONTAMINATED_SHARE = 20  # contaminated if n_hit is at least a 20th of n_words
 ITEM_WORDS = 200_000  # of the items searched at once: about 30 MB for all their windows
 CANDIDATES = 1 << 20  # places examined at once
+BROADCAST_ROWS = 200_000  # contaminated documents that are sent to all tasks; more are joined by a shuffle
 
 INDEX = (
-    "segment long, doc_ids array<long>, begins array<long>, n_words array<long>, terms array<long>, "
+    "segment long, doc_ids array<long>, text_hashes array<long>, begins array<long>, n_words array<long>, terms array<long>, "
     "ends array<int>, positions binary"
 )
 
@@ -52,7 +53,7 @@ def positional_index(docs: DataFrame, gap: int = WINDOW_WORDS) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId() << 33
         for given in batches:
-            ids = given.column("doc_id")
+            ids, marks = given.column("doc_id"), given.column("text_hash")
             for block in blocks(as_bytes(given.column("text"))):
                 starts, ends, bounds = block.words(ALPHANUMERIC)
                 hashes = block.hashes().of(starts, ends).view(np.int64)
@@ -68,6 +69,7 @@ def positional_index(docs: DataFrame, gap: int = WINDOW_WORDS) -> DataFrame:
                 row = {
                     "segment": segment,
                     "doc_ids": ids.slice(block.first, len(n)).to_pylist(),
+                    "text_hashes": marks.slice(block.first, len(n)).to_pylist(),
                     "begins": begins,
                     "n_words": n,
                     "terms": terms[last],
@@ -77,13 +79,15 @@ def positional_index(docs: DataFrame, gap: int = WINDOW_WORDS) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([row], schema=_INDEX)
                 segment += 1
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, INDEX)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(build, INDEX)
 
 
 _INDEX = pa.schema(
     [
         ("segment", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
+        ("text_hashes", pa.list_(pa.int64())),
         ("begins", pa.list_(pa.int64())),
         ("n_words", pa.list_(pa.int64())),
         ("terms", pa.list_(pa.int64())),
@@ -281,17 +285,18 @@ def _covered(spans: Column) -> Column:
 
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, share: int = CONTAMINATED_SHARE) -> DataFrame:
-    """One row per document: n_words, n_hit, its items' ids in order, and whether it is contaminated."""
+    """One row per document: text_hash, n_words, n_hit, its items' ids in order, and whether it is contaminated."""
     index = kept(spark, positional_index(docs))
     found = searched(spark, index, items)
     hits = found.groupBy("segment", "document").agg(
         _covered(F.array_sort(F.collect_list(F.struct("start", "stop")))).alias("n_hit"),
         F.array_sort(F.collect_set("item_id")).alias("items"),
     )
-    documents = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("document", "d"))
+    documents = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "text_hashes", "n_words")).alias("document", "d"))
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return documents.join(hits, ["segment", "document"], "left").select(
         F.col("d.doc_ids").alias("doc_id"),
+        F.col("d.text_hashes").alias("text_hash"),
         F.col("d.n_words").alias("n_words"),
         hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -299,6 +304,15 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, share:
     )
 
 
+def clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents that are not contaminated, with all their columns."""
+    found = contamination(spark, docs, items).filter("contaminated").select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"))
+    found = kept(spark, found.distinct())
+    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    same = docs.doc_id.cast("long").eqNullSafe(F.col("h_id")) & (F.xxhash64(docs.text) == F.col("h_hash"))
+    return docs.join(found, same, "left_anti")
+
+
 @query()
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = contamination(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -263,19 +263,51 @@ def node_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, node) of every document; node is NULL for an empty set."""
+    """(doc_id, text_hash, n_shingles, component_id, label) of every document.
+
+    `label` names the component also where it has no id; it is NULL for an empty set.
+    """
     sets = kept(spark, entered(docs, sketch(docs)))
     labels = node_components(spark, docs, sets)
     nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     nodes = kept(spark, nodes)
     smallest = nodes.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = nodes.join(smallest, "label").select("node", "component_id")
+    named = nodes.join(smallest, "label").select("node", "component_id", "label")
     return sets.join(named, "node", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "node"
+        "doc_id",
+        "text_hash",
+        F.col("size").alias("n_shingles"),
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "label",
     )
 
 
+def first_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One document of each component, with all its columns: that with the smallest id, then hash.
+
+    Documents with empty sets stay. Of equal rows one stays.
+    """
+    rows = kept(spark, near_duplicates(spark, docs).filter("label IS NOT NULL").groupBy("label", "doc_id", "text_hash").agg(F.count("*").alias("n")))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = rows.groupBy("label").agg(F.min(own).alias("first"))
+    others = rows.join(first, "label").filter(own != F.col("first")).select("doc_id", "text_hash")
+    others = kept(spark, others.distinct())
+    twins = kept(spark, rows.filter("n > 1").select("doc_id", "text_hash"))
+    named = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    marked = docs.select(*named, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+
+    def among(frame: DataFrame, how: str) -> DataFrame:
+        held = F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+        held = held.select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"))
+        return marked.join(held, marked.doc_id.eqNullSafe(F.col("h_id")) & (marked.text_hash == F.col("h_hash")), how)
+
+    marked = among(others, "left_anti")
+    if twins.head(1):
+        marked = among(twins, "left_anti").unionByName(among(twins, "left_semi").dropDuplicates(["doc_id", "text_hash"]))
+    return marked.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
 @query()
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark, read(spark, sf_dir, "documents")).drop("node")
+    return near_duplicates(spark, read(spark, sf_dir, "documents")).drop("text_hash", "label")

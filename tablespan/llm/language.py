@@ -42,6 +42,7 @@ EVIDENCE_WORDS = 20  # a longer text's evidence is scaled to so many words for t
 KNOWN_WORDS = 300_000  # a process remembers so many, then starts anew
 CELLS = 1 << 18  # words times bytes at once
 UNKNOWN = "und"
+LEAST_SCORE = 0.5  # of a document that is taken to be in a language
 HELD_OUT = 5
 
 
@@ -318,6 +319,14 @@ def model_for(spark: SparkSession, docs: DataFrame) -> Model:
     return learn(spark, training_docs(docs), public_tokenizers.path(VOCABULARY))
 
 
+def in_known_languages(spark: SparkSession, docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The documents that have a language with at least that score, with all their columns."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)), "text")
+    kept_rows = identified(rows, model_for(spark, docs), names).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return kept_rows.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
+
+
 @query()
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")

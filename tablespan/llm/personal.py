@@ -48,6 +48,7 @@ LEAST_SEEDS = 3  # distinct seeds that a pattern needs
 LEAST_SCORE = 0.6  # of an instance that is reported
 LEAST_DIGITS = 4  # in an instance that is reported, unless it has an @
 RUN = 128
+BROADCAST_ROWS = 100_000  # documents with discovered spans that are sent to all tasks; more are joined by a shuffle
 
 
 def _luhn(value: Column) -> Column:
@@ -125,10 +126,16 @@ def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFra
     return rows.select(*carried, *(spans(name) for name in patterns))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, base, mentions): checked base spans in order, and the mentions with a context."""
+def base_spans(docs: DataFrame, carried: Column | None = None) -> DataFrame:
+    """(row, doc_id, base, mentions): checked base spans in order, and the mentions with a context.
+
+    `carried` goes along in a column of that name.
+    """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+        F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        (F.lit(None).cast("boolean") if carried is None else carried).alias("carried"),
     )
     text = F.col("text")
     patterns = {kind: (pattern, NEEDED[kind](text)) for kind, pattern in PATTERNS.items()}
@@ -154,7 +161,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
         )
 
     base = F.sort_array(F.flatten(F.array(*(checked(k, i) for i, k in enumerate(PATTERNS)))))
-    return rows.select("row", "doc_id", base.alias("base"), F.transform("mention", mention).alias("mentions"))
+    return rows.select("row", "doc_id", "carried", base.alias("base"), F.transform("mention", mention).alias("mentions"))
 
 
 def instance_scores(spark: SparkSession, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -191,15 +198,50 @@ def discovered(spark: SparkSession, found: DataFrame) -> DataFrame:
     return hits.join(scores, "instance").groupBy("row").agg(F.collect_list(span).alias("added"))
 
 
-def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(row, doc_id, base, spans) for each document: base spans, and all spans with the discovered ones."""
-    found = kept(spark, base_spans(docs))
-    added = discovered(spark, found)
+def personal_data(spark: SparkSession, docs: DataFrame, carried: Column | None = None) -> DataFrame:
+    """(row, doc_id, carried, base, spans): base spans, and all spans with the discovered ones."""
+    found = kept(spark, base_spans(docs, carried))
+    added = kept(spark, discovered(spark, found))
+    added = F.broadcast(added) if added.count() <= BROADCAST_ROWS else added
     return found.join(added, "row", "left").select(
-        "row", "doc_id", "base", F.sort_array(F.concat("base", F.coalesce("added", F.slice("base", 1, 0)))).alias("spans")
+        "row", "doc_id", "carried", "base", F.sort_array(F.concat("base", F.coalesce("added", F.slice("base", 1, 0)))).alias("spans")
     )
 
 
+def masked(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """All columns of the documents; each span in `text` is replaced by its kind in brackets.
+
+    Overlapping spans become one, named by the first. A NULL text stays NULL; `n_chars`, where
+    there is one, counts the new text.
+    """
+    carried = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    at = docs.columns.index("text")
+    rows = personal_data(spark, docs, carried).select("carried", "spans", F.col(f"carried.c{at}").alias("text"))
+    signs = F.when(F.size("spans") > 0, F.regexp_extract_all("text", F.lit("(?s)."), F.lit(0)))
+    rows = rows.select("carried", "spans", "text", signs.alias("signs"))
+
+    def between(a: Column, b: Column) -> Column:
+        return F.array_join(F.slice("signs", a + 1, F.greatest(b - a, F.lit(0))), "")
+
+    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).cast("long").alias("end"))
+
+    def step(done: Column, span: Column) -> Column:
+        part = F.concat(between(done["end"].cast("int"), span["start"].cast("int")), F.lit("["), F.upper(span["kind"]), F.lit("]"))
+        parts = F.when(span["start"] < done["end"], done["parts"]).otherwise(F.array_append(done["parts"], part))
+        return F.struct(parts.alias("parts"), F.greatest(done["end"], span["stop"]).alias("end"))
+
+    cut = F.aggregate("spans", start, step, lambda d: F.concat(F.array_join(d["parts"], ""), between(d["end"].cast("int"), F.size("signs"))))
+    rows = rows.select("carried", F.when(F.size("spans") > 0, cut).otherwise(F.col("text")).alias("masked"))
+
+    def column(i: int, name: str) -> Column:
+        if i == at:
+            return F.col("masked").alias(name)
+        value = F.col(f"carried.c{i}")
+        return (F.length("masked").cast(docs.schema[name].dataType) if name == "n_chars" else value).alias(name)
+
+    return rows.select(*(column(i, name) for i, name in enumerate(docs.columns)))
+
+
 def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])))
 
