@@ -86,7 +86,8 @@ def distinct_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     """The distinct values, one place of each, and for each value its number among them."""
     order = np.argsort(values)
     ordered = values[order]
-    new = np.append(True, ordered[1:] != ordered[:-1])
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
     place = np.empty(len(values), dtype=np.int64)
     place[order] = np.cumsum(new) - 1
     return ordered[new], order[new], place
