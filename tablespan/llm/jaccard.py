@@ -6,11 +6,11 @@ quarter is its prefix, and similar sets share prefix tokens. Small sets enumerat
 that is one longer, of which similar ones share one; large sets are found by scanning inverted lists of single tokens. The
 boundary is where the estimated cost of both is least.
 
-Lists are not expanded into pairs. First every list links its smallest set to the others; what shares enough tokens
-is verified on whole sets, and links give components. Then only lists that still have several
-components give pairs, across components, and what shares enough tokens is verified again. Two similar sets
-share a list, so they were linked, or were in one component, or are a pair of the second round: no link
-between components is lost.
+Lists are not expanded into pairs. In rounds, one set of each list is paired with the others, first the most central
+one and then by a hash; what shares enough tokens is verified on whole sets, and links give components. Lists
+with one component are done. When lists with several would give no more pairs than they have entries,
+or after a fixed number of rounds, these give all pairs across components, which are verified in the same way. Two similar sets
+share a list, so they are linked, or in one component, or such a pair: no link between components is lost.
 
 Words are runs of non-blanks, A-Z lower-cased; a set has the distinct five-word shingles, or the whole
 sequence of fewer words. A text that is NULL or has no words has an empty set, is linked with
@@ -39,6 +39,8 @@ SHINGLE = 5
 SKETCH = 1 << 20  # counters of the token sketch
 SIZES = 1 << 8  # set sizes counted one by one, to choose the boundary
 SCAN_COST = 4  # of a list entry that is scanned, in subsets that are enumerated
+STAR_ROUNDS = 6  # at most, before what is left is paired
+PAIRS_PER_ENTRY = 1  # pairs across components that are few enough to be made
 HOME_TOKENS = 250_000  # of sets that are compared with one set in one group
 BROADCAST_ROWS = 200_000  # requests for sets that are sent to all tasks; more are joined by a shuffle
 
@@ -155,22 +157,11 @@ def entered(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def shared_lists(sets: DataFrame) -> DataFrame:
-    """(token, node, size, first, first_size): entries of lists with two nodes or more.
-
-    `first` is the list's smallest set. The frames grow from the start, so a list streams through.
-    """
+    """(token, node, size): entries of lists with two nodes or more; a list streams through its task."""
     entries = sets.filter(F.size("lists") > 0).select(F.explode("lists").alias("token"), "node", "size")
-    order = Window.partitionBy("token").orderBy("size", "node")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        entries.select(
-            "*",
-            F.first(F.struct("node", "size")).over(so_far).alias("first"),
-            F.lead("node").over(order).alias("next"),
-        )
-        .filter((F.col("node") != F.col("first.node")) | (F.col("next") != F.col("node")))
-        .select("token", "node", "size", F.col("first.node").alias("first"), F.col("first.size").alias("first_size"))
-    )
+    order = Window.partitionBy("token").orderBy("node")
+    rows = entries.select("*", F.lag("node").over(order).alias("before"), F.lead("node").over(order).alias("after"))
+    return rows.filter((F.col("before") != F.col("node")) | (F.col("after") != F.col("node"))).select("token", "node", "size")
 
 
 def _alike(a: Column, b: Column) -> Column:
@@ -242,23 +233,48 @@ def verified(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataF
     return made.groupBy("a", "salt").applyInPandas(compare, "a long, b long")
 
 
+def _open(entries: DataFrame) -> DataFrame:
+    """Entries of lists that have several labels."""
+    several = entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return entries.join(several.select("token"), "token", "left_semi")
+
+
+def _stars(entries: DataFrame, weight: Column) -> DataFrame:
+    """Pairs of each list's heaviest set with the sets of other labels in it."""
+    weighted = entries.withColumn("weight", F.struct(weight.alias("w"), F.col("node").alias("n")))
+    hubs = weighted.groupBy("token").agg(F.max(F.struct("weight", "node", "size", "label")).alias("hub"))
+    rows = weighted.join(hubs, "token").filter(F.col("label") != F.col("hub.label"))
+    return rows.select(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.size").alias("a_size"), F.col("size").alias("b_size"), "token")
+
+
+def _across(entries: DataFrame) -> DataFrame:
+    """Pairs of sets of different labels in one list."""
+    a, b = (entries.select("token", *(F.col(c).alias(f"{side}{c}") for c in ("node", "size", "label"))) for side in "ab")
+    pairs = a.join(b, "token").filter("anode < bnode AND alabel <> blabel")
+    return pairs.select(F.col("anode").alias("a"), F.col("bnode").alias("b"), F.col("asize").alias("a_size"), F.col("bsize").alias("b_size"), "token")
+
+
 def node_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, label) of all nodes that link to another one."""
     lists = kept(spark, shared_lists(sets))
-    stars = lists.filter("node <> first").select(
-        F.col("first").alias("a"), F.col("node").alias("b"), F.col("first_size").alias("a_size"), F.col("size").alias("b_size"), "token"
-    )
-    links = kept(spark, verified(spark, docs, sets, _candidates(stars)))
-    labels = components(spark, links)
-    entries = lists.select("token", "node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    entries = kept(spark, entries)
-    open_lists = entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
-    left = kept(spark, entries.join(open_lists, "token", "left_semi").distinct())
-    a, b = (left.select("token", *(F.col(c).alias(f"{side}{c}") for c in ("node", "size", "label"))) for side in "ab")
-    across = a.join(b, "token").filter("anode < bnode AND alabel <> blabel").select(
-        F.col("anode").alias("a"), F.col("bnode").alias("b"), F.col("asize").alias("a_size"), F.col("bsize").alias("b_size"), "token"
-    )
-    more = verified(spark, docs, sets, _candidates(across))
+    # A set whose lists all have company is central among its near copies.
+    central = lists.groupBy("node").agg((F.count("*") / F.max("size")).alias("central"))
+    entries = kept(spark, lists.join(central, "node").distinct().withColumn("label", F.col("node")))
+    links = spark.createDataFrame([], "a long, b long")
+    weight = F.col("central")
+    for n in range(STAR_ROUNDS):
+        found = kept(spark, verified(spark, docs, sets, _candidates(_stars(entries, weight))))
+        links = links.unionAll(found)
+        labels = components(spark, links)
+        relabelled = entries.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        entries = kept(spark, _open(relabelled))
+        by_label = entries.groupBy("token", "label").agg(F.count("*").alias("n"))
+        by_token = by_label.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+        sums = by_token.agg(F.sum("n").alias("entries"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
+        if not sums.entries or sums.pairs <= PAIRS_PER_ENTRY * sums.entries:
+            break
+        weight = F.xxhash64("node", F.lit(n))
+    more = verified(spark, docs, sets, _candidates(_across(entries)))
     return components(spark, links.unionAll(more))
 
 
