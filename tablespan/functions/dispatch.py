@@ -66,7 +66,7 @@ class Overload:
         return all(
             parameter == ANY
             or isinstance(given, T.NullType)
-            or given == parameter
+            or _bare(given) == _bare(parameter)
             or (widening and _widens(given, parameter))
             for parameter, given in zip(self.parameters[: self.fixed], types)
         )
@@ -84,6 +84,15 @@ def _widens(given: T.DataType, parameter: T.DataType) -> bool:
     return False
 
 
+def _bare(kind: T.DataType) -> T.DataType:
+    """The type with every part nullable: what may be NULL does not choose an overload."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_bare(kind.elementType), True)
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _bare(f.dataType), True) for f in kind.fields])
+    return kind
+
+
 def _refuse_map(kind: T.DataType) -> None:
     if isinstance(kind, T.MapType):
         raise DispatchError("map arguments are not supported")
@@ -159,4 +168,4 @@ def _typed(column: Column, given: T.DataType, parameter: T.DataType | str) -> Co
     """A bare NULL becomes the parameter's type, or ``bigint`` where any type goes."""
     if isinstance(given, T.NullType):
         return column.cast(T.LongType() if parameter == ANY else parameter)
-    return column if parameter == ANY or given == parameter else column.cast(parameter)
+    return column if parameter == ANY or given == parameter else column.cast(_bare(parameter))

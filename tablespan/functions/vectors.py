@@ -47,16 +47,18 @@ def group_centroids(
     """The mean array of each group.
 
     Positions are averaged one by one, with sums combined inside each task
-    first; what is gathered per group is one number per position.
+    first; what is gathered per group is one number per position.  A group whose
+    vectors are all empty or NULL keeps its row, with a NULL centroid.
     """
     groups = [F.col(quoted(k)) for k in keys]
-    cells = frame.select(*groups, F.posexplode(F.col(quoted(vector))).alias("position", "value"))
+    cells = frame.select(*groups, F.posexplode_outer(F.col(quoted(vector))).alias("position", "value"))
     mean = F.avg(F.col("value").cast("double"))
     means = cells.groupBy(*groups, "position").agg(mean.alias("mean"))
     gathered = means.groupBy(*groups).agg(
-        F.array_sort(F.collect_list(F.struct("position", "mean"))).alias("means")
-    )
-    return gathered.select(
-        *groups, F.transform("means", lambda m: m.getField("mean")).alias(centroid)
+        F.array_sort(
+            F.collect_list(F.when(F.col("position").isNotNull(), F.struct("position", "mean")))
+        ).alias("means")
     )
+    mean_point = F.transform("means", lambda m: m.getField("mean"))
+    return gathered.select(*groups, F.when(F.size("means") > 0, mean_point).alias(centroid))
 

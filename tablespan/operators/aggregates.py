@@ -4,8 +4,9 @@ Prefer a native aggregate wherever one exists; this is for functions Spark
 lacks.  A group is represented by a small state, never by its rows:
 
 1. each task folds its own rows into one state per group it meets,
-2. states of a group are combined in several shares,
-3. the shares are combined and the result is computed.
+2. states of a group are combined and the result is computed.
+
+Large states can be combined in several shares first, at the cost of a shuffle.
 
 So a group that holds a third of all rows is folded where its rows are, and no
 task sees more than states.  Every step works on whole Arrow batches.
@@ -19,7 +20,7 @@ from typing import Any, Protocol
 import pandas as pd
 import pyarrow as pa
 from pandas.api.typing import DataFrameGroupBy
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,12 +52,11 @@ class Aggregate(Protocol):
         """The state of no rows at all."""
 
 
-# How many rows are worked on at once, how many states a task holds
-# before it passes them on, and over how many shares the states of one group are
-# spread for combining.
+# How many rows, and bytes, are worked on at once, and how many states
+# a task holds before it passes them on.
 ROWS_AT_ONCE = 100_000
+BYTES_AT_ONCE = 32 << 20
 STATES_PER_TASK = 100_000
-SHARES = 32
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
@@ -67,13 +67,16 @@ def user_aggregate(
     function: Aggregate,
     arguments: Sequence[str] = (),
     result: str = "result",
+    shares: int = 1,
 ) -> DataFrame:
     """One row per group: the keys and the function's result.
 
     Without keys there is exactly one row, also over no rows at all, where the
-    result comes from ``empty``.  With keys an empty input has no groups.
+    result comes from ``empty``.  With keys an empty input has no groups.  Keys
+    group as in Spark: 0.0 with -0.0, NaN with NaN, NULL with NULL.  ``shares``
+    above one spreads the states of a group over that many tasks before the last.
     """
-    named = [F.col(quoted(k)).alias(f"key_{i}") for i, k in enumerate(keys)]
+    named = [_key(frame, k).alias(f"key_{i}") for i, k in enumerate(keys)]
     key_fields = frame.select(*(named or [F.lit(0).alias("key_0")])).schema.fields
     for field, key in zip(key_fields, keys):
         if isinstance(field.dataType, _NESTED):
@@ -144,8 +147,10 @@ def user_aggregate(
     given = [F.col(quoted(a)).alias(f"{_ARGUMENT}{a}") for a in arguments]
     rows = frame.select(*(named or [F.lit(0).alias("key_0")]), *given)
     states = rows.mapInArrow(first_states, held)
-    shares = states.withColumn("share", F.pmod(F.spark_partition_id(), F.lit(SHARES)))
-    shared = shares.repartition(*key_names, "share").mapInArrow(share_states, held)
+    shared = states
+    if shares > 1:
+        spread = states.withColumn("share", F.pmod(F.spark_partition_id(), F.lit(shares)))
+        shared = spread.repartition(*key_names, "share").mapInArrow(share_states, held)
     if not keys:
         neutral = frame.sparkSession.createDataFrame([(0, *function.empty())], held)
         shared = shared.union(neutral)
@@ -159,6 +164,14 @@ def user_aggregate(
 _ARGUMENT = "argument_"
 
 
+def _key(frame: DataFrame, name: str) -> Column:
+    key = F.col(quoted(name))
+    if isinstance(frame.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        kind = frame.schema[name].dataType
+        return F.when(F.isnan(key), F.lit(float("nan")).cast(kind)).otherwise((key + F.lit(0.0).cast(kind)).cast(kind))
+    return key
+
+
 def _all_nullable(fields: Sequence[T.StructField]) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
@@ -170,13 +183,14 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows in fewer and larger pieces, as pandas has a fixed cost per piece; none is empty."""
     waiting: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
     for batch in batches:
         waiting.append(batch)
         rows += batch.num_rows
-        if rows >= ROWS_AT_ONCE:
+        size += batch.nbytes
+        if rows >= ROWS_AT_ONCE or rows and size >= BYTES_AT_ONCE:
             yield pa.Table.from_batches(waiting)
-            waiting, rows = [], 0
+            waiting, rows, size = [], 0, 0
     if rows:
         yield pa.Table.from_batches(waiting)
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 ROW_ID_KEY = "is_row_id"
 
+# Which Spark type stands for which Arrow type.
 _SIMPLE = {
     pa.bool_(): T.BooleanType(),
     pa.int8(): T.ByteType(),

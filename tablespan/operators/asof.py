@@ -26,6 +26,8 @@ def latest_as_of(
     Rows that tie on ``time`` are decided by the greatest ``tie_break``; columns
     that identify a row make the result unique.
     """
+    if not keys:
+        raise ValueError("latest_as_of needs at least one key")
     before = frame.where((at(time) <= moment).column(frame.schema))
     rank = F.struct(*[F.col(quoted(c)) for c in (time, *tie_break)])
     rest = [c for c in frame.columns if c not in keys]

@@ -1,7 +1,7 @@
-"""Where rows live: grouped by key, or merged under a cap on concurrent tasks.
+"""Where rows live: grouped by key, in a frame or in a stored table.
 
-A layout never changes a result, so each operator gives it up where it would
-pile too many rows onto one task.
+A layout never changes a result.  It gathers the rows of a key in one task, so
+a caller can have keys that hold too large a share of the rows refused.
 """
 
 from __future__ import annotations
@@ -36,22 +36,20 @@ def largest_share(frame: DataFrame, keys: Sequence[Key]) -> float:
 def key_grouped(
     frame: DataFrame,
     keys: Sequence[Key],
-    partitions: int,
-    skew_limit: float = 2.0,
-    share: float | None = None,
+    partitions: int | None = None,
+    most_share: float | None = None,
 ) -> DataFrame:
     """Place rows so that grouping or joining by ``keys`` needs no further exchange.
 
     Meant for work that needs the rows of a key side by side.  An ordinary
     aggregate should group the raw frame: Spark then combines before it
-    shuffles.  If one key holds more than ``skew_limit`` times its fair share of
-    a partition, the layout is not claimed and the frame comes back as it was;
-    a later grouping is planned by Spark, with the same result.  The largest
-    key's ``share`` is measured, which reads the key columns once, unless given.
+    shuffles.  Without ``partitions`` the session decides how many there are.
+    ``most_share`` is the largest share of rows that one key may hold: the share
+    is measured, which reads the key columns once, and a larger one is refused.
     """
-    if not _even(frame, keys, partitions, skew_limit, share):
-        return frame
-    return frame.repartition(partitions, *_columns(keys))
+    _check_share(frame, keys, most_share)
+    columns = _columns(keys)
+    return frame.repartition(*([partitions] if partitions else []), *columns)
 
 
 def store_key_grouped(
@@ -60,73 +58,25 @@ def store_key_grouped(
     keys: Sequence[str],
     buckets: int,
     path: str | None = None,
-    skew_limit: float = 2.0,
-    share: float | None = None,
+    most_share: float | None = None,
 ) -> DataFrame:
     """Write ``frame`` once in buckets of ``keys``; later groupings and joins need no exchange.
 
-    A bucket is read by one task, so with keys as uneven as :func:`key_grouped`
-    describes the table is written without buckets and only costs an exchange later.
+    A bucket is read by one task, so uneven keys are refused as by :func:`key_grouped`.
     """
-    bucketed = _even(frame, keys, buckets, skew_limit, share)
-    if bucketed:
-        frame = frame.repartition(buckets, *_columns(keys))
-    writer = frame.write.format("parquet")
+    _check_share(frame, keys, most_share)
+    writer = frame.repartition(buckets, *_columns(keys)).write.format("parquet")
     if path is not None:
         writer = writer.option("path", path)
-    if bucketed:
-        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
-    writer.saveAsTable(table)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
     return frame.sparkSession.table(table)
 
 
-def _even(
-    frame: DataFrame, keys: Sequence[Key], places: int, skew_limit: float, share: float | None
-) -> bool:
-    largest = largest_share(frame, keys) if share is None else share
-    return largest * places <= skew_limit
-
-
-def coalesce_for_workers(
-    frame: DataFrame, cap: int, keys: Sequence[Key] = (), skew_limit: float = 2.0
-) -> DataFrame:
-    """At most ``cap`` partitions, one per key where that is possible.
-
-    With ``keys`` of at most ``cap`` different values, each value gets a partition
-    of its own, unless one of them holds more than ``skew_limit / cap`` of the
-    rows.  Otherwise neighbouring partitions are merged without a shuffle and
-    grouping is lost; that changes nothing where there are few enough already.
-    No row is dropped in any case.
-    """
-    if cap < 1:
-        raise ValueError("the worker cap must be at least 1")
-    if keys:
-        columns = _columns(keys)
-        # A sketch tells far too many keys apart from few without shuffling them.
-        sketched = frame.agg(F.approx_count_distinct(F.struct(*columns))).first()[0]
-        if sketched <= 2 * cap:
-            counts = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
-            found = counts.limit(cap + 1).collect()
-            rows = sum(row["rows"] for row in found)
-            even = all(row["rows"] * cap <= skew_limit * rows for row in found)
-            if found and len(found) <= cap and even:
-                return _one_partition_per_key(frame, keys, [tuple(row)[:-1] for row in found])
-    return frame.coalesce(cap)
-
-
-def _one_partition_per_key(
-    frame: DataFrame, keys: Sequence[Key], values: list[tuple]
-) -> DataFrame:
-    """``values`` is no longer than the worker cap, which bounds what is broadcast."""
-    spark = frame.sparkSession
-    fields = frame.select(*_columns(keys)).schema
-    names = [f"worker_key_{i}" for i in range(len(keys))]
-    numbered = spark.createDataFrame(
-        [(*value, number) for number, value in enumerate(values)],
-        ", ".join(
-            [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields)] + ["worker_place int"]
-        ),
-    )
-    match = [key.eqNullSafe(F.col(name)) for key, name in zip(_columns(keys), names)]
-    placed = frame.join(F.broadcast(numbered), match, "inner")
-    return placed.repartitionById(len(values), F.col("worker_place")).drop("worker_place", *names)
+def _check_share(frame: DataFrame, keys: Sequence[Key], most_share: float | None) -> None:
+    if most_share is None:
+        return
+    share = largest_share(frame, keys)
+    if share > most_share:
+        raise ValueError(
+            f"one key of {list(keys)} holds {share:.1%} of the rows, more than {most_share:.1%}"
+        )

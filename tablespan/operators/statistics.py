@@ -31,19 +31,18 @@ def column_statistics(
 ) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, smallest and largest, longest text.
 
-    Everything but the exact distinct counts comes from one partially aggregated
-    pass.  ``distinct="exact"`` adds a narrow scan per column, which reads that
-    column alone from a columnar source and shuffles its distinct values, not its
-    rows; write an expensive computed frame out before profiling it this way.
-    ``"approx"`` keeps a small sketch per column in the first pass instead (about
-    2 % standard error) and is the choice for wide or very large tables.
-    ``None`` leaves the count unknown.
+    The frame is read once.  ``distinct="exact"`` hands every value on once for its
+    column, combines equal ones inside each task and shuffles what is left.
+    ``"approx"`` keeps a small sketch per column instead (about 2 % standard
+    error) and is the choice for wide or very large tables.  ``None`` leaves the
+    count unknown, and so are those of columns that hold maps.
     """
     if distinct not in ("exact", "approx", None):
         raise ValueError(f"distinct must be 'exact', 'approx' or None, not {distinct!r}")
+    unknown = [c for c in columns if c not in frame.columns]
+    if unknown:
+        raise ValueError(f"column_statistics: no such columns: {unknown}")
     fields = [f for f in frame.schema.fields if not columns or f.name in columns]
-    if not fields:
-        raise ValueError("column_statistics: no such columns")
     measures: list[Column] = [F.count(F.lit(1)).alias("rows")]
     rows: list[Column] = []
     unknown_text, unknown_count = F.lit(None).cast("string"), F.lit(None).cast("bigint")
@@ -51,21 +50,22 @@ def column_statistics(
         column = F.col(quoted(field.name))
         bounded = isinstance(field.dataType, _BOUNDED_TYPES)
         text = isinstance(field.dataType, T.StringType)
-        sketched = distinct == "approx" and not _holds_map(field.dataType)
+        counted = distinct is not None and not _holds_map(field.dataType)
         measures.append(F.count_if(column.isNull()).alias(f"nulls_{i}"))
         if bounded:
             measures += [F.min(column).alias(f"low_{i}"), F.max(column).alias(f"high_{i}")]
         if text:
             measures.append(F.max(F.length(column)).alias(f"length_{i}"))
-        if sketched:
-            measures.append(F.approx_count_distinct(column, 0.02).alias(f"distinct_{i}"))
+        if counted:
+            several = F.count_distinct(column) if distinct == "exact" else F.approx_count_distinct(column, 0.02)
+            measures.append(several.alias(f"distinct_{i}"))
         rows.append(
             F.struct(
                 F.lit(field.name).alias("column_name"),
                 F.lit(field.dataType.simpleString()).alias("data_type"),
                 F.col("rows").alias("row_count"),
                 F.col(f"nulls_{i}").alias("null_count"),
-                (F.col(f"distinct_{i}") if sketched else unknown_count).alias("distinct_count"),
+                (F.col(f"distinct_{i}") if counted else unknown_count).alias("distinct_count"),
                 (F.col(f"low_{i}").cast("string") if bounded else unknown_text).alias("min_value"),
                 (F.col(f"high_{i}").cast("string") if bounded else unknown_text).alias("max_value"),
                 (F.col(f"length_{i}").cast("bigint") if text else unknown_count).alias(
@@ -73,22 +73,7 @@ def column_statistics(
                 ),
             )
         )
-    statistics = frame.agg(*measures).select(F.inline(F.array(*rows)))
-    if distinct != "exact":
-        return statistics
-    counts = [
-        frame.select(F.col(quoted(f.name)).alias("value"))
-        .distinct()
-        .agg(F.lit(f.name).alias("column_name"), F.count("value").alias("exact_count"))
-        for f in fields
-        if not _holds_map(f.dataType)
-    ]
-    if not counts:
-        return statistics
-    # One row per column of the table, so small enough to broadcast.
-    exact = F.broadcast(union_all(counts))
-    joined = statistics.join(exact, "column_name", "left")
-    return joined.withColumn("distinct_count", F.col("exact_count")).drop("exact_count")
+    return frame.agg(*measures).select(F.inline(F.array(*rows)))
 
 
 def _holds_map(kind: T.DataType) -> bool:
@@ -99,6 +84,18 @@ def _holds_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType)
 
 
+def estimated_rows(table: Table) -> int | None:
+    """How many rows a table has as far as is known without reading it.
+
+    The owner's declaration comes first, then the measured counts of its branches;
+    if one of them is not known, neither is the sum.
+    """
+    if table.row_estimate is not None:
+        return table.row_estimate
+    counts = [max((b.rows for b in branch.bounds.values() if b.rows is not None), default=None) for branch in table.branches]
+    return None if any(c is None for c in counts) else sum(counts)
+
+
 def profile_branches(spark: SparkSession, table: Table, paths: Sequence[ColumnPath]) -> Table:
     """The same table with measured value ranges on every branch.
 

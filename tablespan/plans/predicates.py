@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column
@@ -128,10 +128,23 @@ class Compare(Predicate):
         return _OPERATORS[self.operator](edge, self.value)
 
 
+def balanced(
+    join: Callable[[Column, Column], Column], parts: Sequence[Column]
+) -> Column:
+    """All parts joined pair by pair, so that the expression's depth grows with their logarithm."""
+    level = list(parts)
+    while len(level) > 1:
+        level = [join(*level[i : i + 2]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+    return level[0]
+
+
 def _orders_alike(bound: Any, value: Any) -> bool:
     """Whether Python orders the two as Spark does; otherwise Spark decides row by row."""
     if any(isinstance(v, float) and math.isnan(v) for v in (bound, value)):
         return False
+    if isinstance(bound, dt.datetime) and isinstance(value, dt.datetime):
+        if (bound.tzinfo is None) != (value.tzinfo is None):  # Python cannot order the two
+            return False
     kinds = {type(bound), type(value)}
     if kinds == {int, float}:  # Spark compares these as doubles
         return all(abs(v) <= 2**53 for v in (bound, value))
@@ -167,7 +180,7 @@ class All(Predicate):
     parts: tuple[Predicate, ...]
 
     def column(self, schema: T.StructType) -> Column:
-        return reduce(Column.__and__, (p.column(schema) for p in self.parts))
+        return balanced(Column.__and__, [p.column(schema) for p in self.parts])
 
     def path(self) -> ColumnPath | None:
         return _shared_path(self.parts)
@@ -181,7 +194,7 @@ class AnyOf(Predicate):
     parts: tuple[Predicate, ...]
 
     def column(self, schema: T.StructType) -> Column:
-        return reduce(Column.__or__, (p.column(schema) for p in self.parts))
+        return balanced(Column.__or__, [p.column(schema) for p in self.parts])
 
     def path(self) -> ColumnPath | None:
         return _shared_path(self.parts)

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablespan.operators.schema import conform, row_id_schema, show_row_id, union_all
-from tablespan.plans.predicates import Predicate, check_required_filters, conjuncts
+from tablespan.plans.predicates import Predicate, balanced, check_required_filters, conjuncts
 from tablespan.plans.tables import Table, VersionedTable
 from tablespan.sources.branches import Branch
 
@@ -44,14 +43,17 @@ def _read_together(
     rows = show_row_id(rows)
     filters = [F.expr(b.filter) if b.filter else F.lit(True) for _, b in members]
     if all(b.filter for _, b in members):
-        rows = rows.where(reduce(Column.__or__, filters))
+        rows = rows.where(balanced(Column.__or__, filters))
     if len(members) == 1:
         return rows.withColumn(BRANCH, F.lit(number))
+    if table.exclusive:
+        taker = F.when(filters[0], F.lit(number))
+        for condition, (n, _) in zip(filters[1:], members[1:]):
+            taker = taker.when(condition, F.lit(n))
+        return rows.withColumn(BRANCH, taker).where(F.col(BRANCH).isNotNull())
+    # The misses go before the explode, so a row is copied for its branches only.
     takers = [F.when(f, F.lit(n)) for f, (n, _) in zip(filters, members)]
-    # Dropping the misses after the explode keeps the whole step in generated code,
-    # which dropping them inside the array does not.
-    given_out = rows.select("*", F.explode(F.array(*takers)).alias(BRANCH))
-    return given_out.where(F.col(BRANCH).isNotNull())
+    return rows.select("*", F.explode(F.array_compact(F.array(*takers))).alias(BRANCH))
 
 
 def kept_branches(table: Table, where: Sequence[Predicate]) -> list[tuple[int, Branch]]:

@@ -6,8 +6,10 @@ import datetime as dt
 from bisect import bisect_right
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import types as T
 
+from tablespan.operators.arrow_types import spark_schema
 from tablespan.plans.predicates import ColumnPath
 from tablespan.sources.branches import Branch
 
@@ -20,17 +22,22 @@ class Table:
     brings its own.  ``planning="filtered"`` allows a table without branches: it
     is empty.  Each group in ``required_filters`` needs a filter on one of its
     paths before the table may be scanned.  ``row_estimate`` is what the owner
-    declares; unknown stays ``None``.
+    declares; unknown stays ``None``.  ``exclusive`` declares that no row passes
+    the filters of two branches over one source, which makes their scan cheaper.
+    A schema may also be given as an Arrow schema.
     """
 
     name: str
     branches: tuple[Branch, ...]
-    schema: T.StructType | None = None
+    schema: T.StructType | pa.Schema | None = None
     planning: str = "bind"
     required_filters: tuple[tuple[ColumnPath, ...], ...] = ()
     row_estimate: int | None = None
+    exclusive: bool = False
 
     def __post_init__(self) -> None:
+        if isinstance(self.schema, pa.Schema):
+            object.__setattr__(self, "schema", spark_schema(self.schema))
         if self.planning not in ("bind", "filtered"):
             raise ValueError(f"table '{self.name}': unknown planning '{self.planning}'")
         if not self.branches and self.planning != "filtered":

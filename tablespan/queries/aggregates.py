@@ -81,28 +81,6 @@ def agg_listagg(spark: SparkSession, folder: str) -> DataFrame:
     return kinds.groupBy("user_id").agg(listed.alias("kinds"))
 
 
-class Spread:
-    """Largest minus smallest value, times the share of rows that have one."""
-
-    state = "low double, high double, present bigint, total bigint"
-    result = "double"
-
-    def start(self, rows: pd.DataFrame) -> pd.DataFrame:
-        value = rows.iloc[:, 0]
-        present = value.notna().astype("int64[pyarrow]")
-        one = pd.Series(1, index=rows.index, dtype="int64[pyarrow]")
-        return pd.DataFrame({"low": value, "high": value, "present": present, "total": one})
-
-    def combine(self, groups) -> pd.DataFrame:
-        return groups.agg({"low": "min", "high": "max", "present": "sum", "total": "sum"})
-
-    def finish(self, states: pd.DataFrame) -> pd.Series:
-        return (states.high - states.low) * states.present / states.total
-
-    def empty(self) -> tuple:
-        return (None, None, 0, 0)
-
-
 class CommonDivisor:
     """The greatest common divisor of a group's integers; NULLs do not count."""
 
@@ -130,17 +108,17 @@ class CommonDivisor:
 
 @query(
     """
-    SELECT l_returnflag, round((max(q) - min(q)) * count(q) / count(*), 6) AS spread
-    FROM (SELECT l_returnflag, CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_extendedprice END AS q
-          FROM lineitem) GROUP BY l_returnflag
+    SELECT l_shipdate, coalesce(list_reduce(list(q) FILTER (q IS NOT NULL),
+           lambda a, b: gcd(a, b)), 0) AS divisor
+    FROM (SELECT l_shipdate, CASE WHEN l_linestatus = 'F' THEN NULL
+                 ELSE CAST(l_quantity AS BIGINT) END AS q FROM lineitem) GROUP BY l_shipdate
     """
 )
 def agg_user_grouped(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read(spark, folder, "lineitem").select(
-        "l_returnflag", F.when(F.col("l_linestatus") != "F", F.col("l_extendedprice")).alias("q")
-    )
-    spread = user_aggregate(lines, ["l_returnflag"], Spread(), ["q"], "spread")
-    return spread.select("l_returnflag", F.round("spread", 6).alias("spread"))
+    """An aggregate Spark lacks, over groups that hold NULLs."""
+    value = F.when(F.col("l_linestatus") != "F", F.col("l_quantity").cast("bigint"))
+    lines = read(spark, folder, "lineitem").select("l_shipdate", value.alias("q"))
+    return user_aggregate(lines, ["l_shipdate"], CommonDivisor(), ["q"], "divisor")
 
 
 @query(
@@ -160,7 +138,28 @@ def agg_user_empty(spark: SparkSession, folder: str) -> DataFrame:
     return user_aggregate(nothing, [], CommonDivisor(), ["l_partkey"], "divisor")
 
 
-@query("SELECT round(max(value) - min(value), 6) AS spread FROM events")
+@query("SELECT list_reduce(list(user_id * 30), lambda a, b: gcd(a, b)) AS divisor FROM events")
 def agg_user_ungrouped(spark: SparkSession, folder: str) -> DataFrame:
-    spread = user_aggregate(read(spark, folder, "events"), [], Spread(), ["value"], "spread")
-    return spread.select(F.round("spread", 6).alias("spread"))
+    events = read(spark, folder, "events").select((F.col("user_id") * 30).alias("v"))
+    return user_aggregate(events, [], CommonDivisor(), ["v"], "divisor")
+
+
+@query(
+    """
+    SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year,
+           CAST(grouping(o_orderstatus, o_orderpriority, year(o_orderdate)) AS BIGINT) AS level,
+           count(*) AS n, max(o_totalprice) AS largest
+    FROM orders GROUP BY GROUPING SETS (
+      (o_orderstatus, o_orderpriority), (o_orderstatus, year(o_orderdate)), (o_orderpriority), ())
+    """
+)
+def agg_grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals on several levels of detail from one scan."""
+    orders = read(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    status, priority, year = (F.col(c) for c in ("o_orderstatus", "o_orderpriority", "year"))
+    levels = [[status, priority], [status, year], [priority], []]
+    return orders.groupingSets(levels, status, priority, year).agg(
+        F.grouping_id("o_orderstatus", "o_orderpriority", "year").cast("bigint").alias("level"),
+        F.count(F.lit(1)).alias("n"),
+        F.max("o_totalprice").alias("largest"),
+    )

@@ -259,6 +259,9 @@ def fn_concat_values(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Groups whose centroids are sent to every task; more are joined by a shuffle.
+MOST_SENT = 10_000
+
 _CENTROIDS_SQL = """
     WITH cells AS (
       SELECT label, vec_id, unnest(embedding) AS value,
@@ -295,6 +298,9 @@ def fn_distance_to_centroid(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings")
     centroids = group_centroids(vectors, ["label"], "embedding")
     distance = distance_arrays(F.col("embedding"), F.col("centroid"))
+    # Vectors stay where they are as long as the centroids are few, which is counted.
+    if vectors.select("label").distinct().count() <= MOST_SENT:
+        centroids = F.broadcast(centroids)
     return vectors.join(centroids, "label").select(
         "vec_id", "label", F.round(distance, 5).alias("distance")
     )
@@ -357,13 +363,12 @@ def fn_unnest_tensor(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def fn_unnest_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    """The same for two axes: each vector of 64 as a matrix of 8 by 8."""
-    matrix = F.transform(
-        F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice(F.col("embedding"), r * 8 + 1, 8)
-    )
+    """The same for two axes: each vector as a matrix with rows of eight."""
+    rows = F.sequence(F.lit(0), F.ceil(F.size("embedding") / 8).cast("int") - 1)
+    matrix = F.transform(rows, lambda r: F.slice(F.col("embedding"), r * 8 + 1, 8))
     axes = {
-        "r": F.array(*[F.lit(f"r{i}") for i in range(8)]),
-        "c": F.array(*[F.lit(i) for i in range(8)]),
+        "r": F.transform(rows, lambda r: F.concat(F.lit("r"), r.cast("string"))),
+        "c": F.sequence(F.lit(0), F.lit(7)),
     }
     cells = unnest_tensor(matrix, axes)
     rows = read(spark, folder, "embeddings").select("vec_id", F.explode(cells).alias("cell"))
@@ -395,6 +400,32 @@ def fn_nested_values(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'F/' || o_orderpriority
+           ELSE o_orderstatus END AS path, o_totalprice + 1 AS total FROM orders
+    """
+)
+def fn_nested_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """Overloads with an array and a struct parameter; what may be NULL inside does not matter."""
+    orders = read(spark, folder, "orders")
+    steps = T.ArrayType(T.StringType(), containsNull=False)
+    joined = Function(
+        "show",
+        [
+            Overload([steps], lambda a: F.array_join(a, "/")),
+            Overload([T.StructType().add("price", T.DoubleType(), False)], lambda s: s.getField("price") + 1),
+        ],
+    )
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    path = F.when(status == "F", F.array(status, priority)).otherwise(F.array(status))
+    return orders.select(
+        "o_orderkey",
+        joined.on(orders, path).alias("path"),
+        joined.on(orders, F.struct(F.col("o_totalprice").alias("price"))).alias("total"),
+    )
+
+
 def _orders_between(
     spark: SparkSession, folder: str, low: float, high: float, with_customer: bool
 ) -> DataFrame:
@@ -430,6 +461,14 @@ def table_function_call(spark: SparkSession, folder: str) -> DataFrame:
     return LIBRARY.table(spark, "Orders_Between", folder, 100000.0, 120000.0, True)
 
 
+@query(
+    "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice BETWEEN 100000 AND 120000"
+)
+def table_function_narrow(spark: SparkSession, folder: str) -> DataFrame:
+    """The same call without the customer column."""
+    return LIBRARY.table(spark, "Orders_Between", folder, 100000.0, 120000.0, False)
+
+
 @query(
     """
     SELECT o_orderpriority, count(*) AS n FROM orders

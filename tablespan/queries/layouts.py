@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablespan.operators.compare import as_text, frames_diff
-from tablespan.operators.layout import coalesce_for_workers, key_grouped
-from tablespan.queries.registry import kept, query, read
+from tablespan.operators.layout import key_grouped
+from tablespan.queries.registry import query, read
 
 
 @query(
@@ -25,7 +25,7 @@ def key_grouped_agg(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("l_suppkey", "l_returnflag")
         .agg(F.count(F.lit(1)).alias("n"), F.max("l_shipdate").alias("last_ship"))
     )
-    laid = key_grouped(kept(spark, fine), ["l_suppkey"], 8)
+    laid = key_grouped(fine, ["l_suppkey"])
     return laid.groupBy("l_suppkey").agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("n_flags"),
@@ -33,32 +33,6 @@ def key_grouped_agg(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    """
-    SELECT o_orderpriority, count(*) AS n, CAST(1 AS BIGINT) AS n_partitions
-    FROM orders GROUP BY o_orderpriority
-    """
-)
-def coalesce_by_key(spark: SparkSession, folder: str) -> DataFrame:
-    """Five priorities under a cap of eight tasks: each in exactly one partition."""
-    placed = coalesce_for_workers(read(spark, folder, "orders"), 8, ["o_orderpriority"])
-    where = placed.select("o_orderpriority", F.spark_partition_id().alias("place"))
-    counted = where.groupBy("o_orderpriority", "place").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("o_orderpriority").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_partitions")
-    )
-
-
-@query("SELECT o_orderstatus, count(*) AS n, TRUE AS capped FROM orders GROUP BY o_orderstatus")
-def coalesce_without_key(spark: SparkSession, folder: str) -> DataFrame:
-    """Too many keys for the cap: partitions are merged and no row is lost."""
-    placed = coalesce_for_workers(read(spark, folder, "orders"), 2, ["o_custkey"])
-    where = placed.select("o_orderstatus", F.spark_partition_id().alias("place"))
-    return where.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), (F.max("place") < 2).alias("capped")
-    )
-
-
 _DIFF_SQL = """
     WITH actual AS (
       SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '5-LOW'

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablespan.queries.registry import kept, query, read
+from tablespan.queries.registry import query, read
 
 
 @query(
@@ -29,23 +29,111 @@ def window_self_join(spark: SparkSession, folder: str) -> DataFrame:
     best = orders.select(
         "o_custkey", "o_orderkey", "o_totalprice", F.row_number().over(by_price).alias("rn")
     ).where("rn <= 2")
-    # Two rows per customer are kept, so both sides of the join come from one ranking.
-    ranked = kept(spark, best)
-    first = ranked.where("rn = 1").select(
-        "o_custkey", F.col("o_orderkey").alias("best"), "o_totalprice"
+    # Two rows per customer are left, which one grouping turns into one.
+    pairs = best.groupBy("o_custkey").agg(
+        F.max(F.when(F.col("rn") == 1, F.col("o_orderkey"))).alias("best"),
+        F.max(F.when(F.col("rn") == 2, F.col("o_orderkey"))).alias("second"),
+        F.max(F.when(F.col("rn") == 1, F.col("o_totalprice"))).alias("price"),
     )
-    second = ranked.where("rn = 2").select("o_custkey", F.col("o_orderkey").alias("second"))
     means = orders.groupBy("o_custkey").agg(
         F.avg(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("mean")
     )
     return (
-        first.join(second, "o_custkey")
+        pairs.where(F.col("second").isNotNull())
         .join(means, "o_custkey")
-        .where("o_totalprice > 2 * mean")
+        .where("price > 2 * mean")
         .select("o_custkey", "best", "second")
     )
 
 
+@query(
+    """
+    WITH low AS (SELECT c_custkey, c_nationkey, c_acctbal FROM customer WHERE c_acctbal < 0),
+    full_outer AS (
+      SELECT coalesce(l.c_nationkey, s.s_nationkey) AS nation, l.c_custkey, s.s_suppkey
+      FROM low l FULL JOIN supplier s ON l.c_nationkey = s.s_nationkey)
+    SELECT 'full' AS kind, CAST(nation AS BIGINT) AS k, count(c_custkey) AS a, count(s_suppkey) AS b
+    FROM full_outer GROUP BY nation
+    UNION ALL
+    SELECT 'semi', CAST(s_nationkey AS BIGINT), count(*), 0 FROM supplier
+    WHERE s_nationkey IN (SELECT c_nationkey FROM low) GROUP BY s_nationkey
+    UNION ALL
+    SELECT 'range', o_custkey, count(*), CAST(sum(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END) AS BIGINT)
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+     AND l_shipdate >= o_orderdate AND l_shipdate < o_orderdate + INTERVAL 30 DAY GROUP BY o_custkey
+    """
+)
+def join_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """Full, semi and range joins; each has an equality that its rows are dealt by."""
+    low = read(spark, folder, "customer").where("c_acctbal < 0").select("c_custkey", "c_nationkey")
+    suppliers = read(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    same = low["c_nationkey"] == suppliers["s_nationkey"]
+    full = low.join(suppliers, same, "full").groupBy(
+        F.coalesce("c_nationkey", "s_nationkey").cast("bigint").alias("k")
+    ).agg(F.count("c_custkey").alias("a"), F.count("s_suppkey").alias("b"))
+    semi = suppliers.join(low, same, "left_semi").groupBy(F.col("s_nationkey").cast("bigint").alias("k")).agg(
+        F.count(F.lit(1)).alias("a"), F.lit(0).cast("bigint").alias("b")
+    )
+    orders, lines = read(spark, folder, "orders"), read(spark, folder, "lineitem")
+    soon = (
+        (orders["o_orderkey"] == lines["l_orderkey"])
+        & (lines["l_shipdate"] >= orders["o_orderdate"])
+        & (lines["l_shipdate"] < orders["o_orderdate"] + F.expr("INTERVAL 30 DAYS"))
+    )
+    ranged = orders.join(lines, soon).groupBy(F.col("o_custkey").alias("k")).agg(
+        F.count(F.lit(1)).alias("a"), F.count_if(F.col("l_quantity") > 25).alias("b")
+    )
+    kinds = {"full": full, "semi": semi, "range": ranged}
+    first, *others = [f.select(F.lit(kind).alias("kind"), "k", "a", "b") for kind, f in kinds.items()]
+    for other in others:
+        first = first.union(other)
+    return first
+
+
+@query(
+    """
+    WITH last AS (
+      SELECT o.o_orderkey, max(e.ts) AS ts FROM (SELECT o_orderkey, o_custkey,
+             o_orderdate + INTERVAL 10000 DAY AS moment FROM orders) o
+      JOIN events e ON e.user_id = o.o_custkey AND e.ts <= o.moment GROUP BY o.o_orderkey)
+    SELECT o_orderkey, ts AS last_event FROM orders LEFT JOIN last USING (o_orderkey)
+    """
+)
+def join_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Each order's last event of its customer before a moment: both in one row of time.
+
+    The window carries the newest event on while it streams through a customer's rows.
+    """
+    moment = F.col("o_orderdate") + F.expr("INTERVAL 10000 DAYS")
+    orders = read(spark, folder, "orders").select(
+        F.col("o_custkey").alias("k"), moment.alias("at"), F.lit(None).cast("timestamp_ntz").alias("event"), "o_orderkey"
+    )
+    events = read(spark, folder, "events").select(
+        F.col("user_id").alias("k"), F.col("ts").alias("at"), F.col("ts").alias("event"), F.lit(None).cast("bigint").alias("o_orderkey")
+    )
+    by_time = Window.partitionBy("k").orderBy("at", F.col("o_orderkey").asc_nulls_first())
+    carried = F.last("event", ignorenulls=True).over(by_time.rowsBetween(Window.unboundedPreceding, 0))
+    rows = orders.union(events).select("o_orderkey", carried.alias("last_event"))
+    return rows.where(F.col("o_orderkey").isNotNull())
+
+
+@query(
+    """
+    SELECT l_suppkey, count(*) AS n FROM lineitem l
+    WHERE l_quantity > (SELECT 1.5 * avg(p.l_quantity) FROM lineitem p WHERE p.l_partkey = l.l_partkey)
+    GROUP BY l_suppkey
+    """
+)
+def correlated_subquery(spark: SparkSession, folder: str) -> DataFrame:
+    """A scalar subquery that names the outer row; Spark turns it into a join."""
+    read(spark, folder, "lineitem").createOrReplaceTempView("tablespan_lines")
+    return spark.sql(
+        """SELECT l_suppkey, count(*) AS n FROM tablespan_lines l
+        WHERE l_quantity > (SELECT 1.5 * avg(p.l_quantity) FROM tablespan_lines p
+                            WHERE p.l_partkey = l.l_partkey) GROUP BY l_suppkey"""
+    )
+
+
 @query(
     """
     SELECT o_orderkey, o_totalprice FROM orders

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,11 +12,17 @@ from pyspark.sql import types as T
 from tablespan.operators.asof import latest_as_of
 from tablespan.operators.statistics import column_statistics, profile_branches
 from tablespan.plans.catalog import Catalog
-from tablespan.plans.predicates import at
+from tablespan.plans.predicates import Bounds, at
 from tablespan.plans.scan import scan
 from tablespan.plans.tables import Table, Version, VersionedTable
 from tablespan.queries.registry import given, new_folder, path_of, query, read
-from tablespan.sources.branches import format_branch, frame_branch, function_branch, scan_function
+from tablespan.sources.branches import (
+    format_branch,
+    frame_branch,
+    function_branch,
+    partitioned_files,
+    scan_function,
+)
 from tablespan.sources.sequences import range_of, split_sequence
 
 ORDERS = (
@@ -35,12 +42,16 @@ def since(year: int) -> str:
 
 
 def orders_by_status(folder: str) -> Table:
-    """Orders assembled from one branch per status; a scan must limit the order date."""
+    """Orders from a branch per status and one for the rest; a scan must limit the order date."""
     source = scan_function("read_parquet", path_of(folder, "orders"))
     return Table(
         "orders",
-        tuple(source.filtered(f"o_orderstatus = '{s}'") for s in ("F", "O", "P")),
+        (
+            *(source.filtered(f"o_orderstatus = '{s}'") for s in ("F", "O", "P")),
+            source.filtered("o_orderstatus NOT IN ('F', 'O', 'P') OR o_orderstatus IS NULL"),
+        ),
         ORDERS,
+        exclusive=True,
         required_filters=((("o_orderdate",),),),
     )
 
@@ -51,7 +62,8 @@ def orders_by_status(folder: str) -> Table:
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM (SELECT * FROM orders WHERE o_orderstatus = 'F'
           UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'O'
-          UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P')
+          UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P'
+          UNION ALL SELECT * FROM orders WHERE o_orderstatus NOT IN ('F', 'O', 'P') OR o_orderstatus IS NULL)
     WHERE o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY o_orderpriority
     """
 )
@@ -154,6 +166,14 @@ def scan_csv_delegated(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("SELECT s_suppkey AS id, s_acctbal AS balance, CAST(s_nationkey AS BIGINT) AS nation FROM supplier")
+def scan_arrow_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """A table declared by an Arrow schema, which widens what the file has."""
+    schema = pa.schema([("id", pa.int64()), ("balance", pa.float64()), ("nation", pa.int64())])
+    suppliers = read(spark, folder, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
+    return scan(spark, Table("suppliers", (frame_branch(suppliers),), schema))
+
+
 @query(
     """
     SELECT o_orderpriority, count(*) AS n_orders, CAST(0 AS BIGINT) AS n_returned
@@ -170,6 +190,15 @@ def scan_empty(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _year_dates(values: dict[str, str | None]) -> dict:
+    """What the files of a year tell about the order date."""
+    if values["year"] is None:
+        return {}
+    year = int(values["year"])
+    last = dt.datetime(year, 12, 31, 23, 59, 59, 999_999)
+    return {("o_orderdate",): Bounds(dt.datetime(year, 1, 1), last)}
+
+
 @query(
     """
     SELECT year(o_orderdate) AS year, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high
@@ -180,10 +209,8 @@ def scan_planned_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files planned by year; the scan lists those a filter may need and filters the rows."""
     path = new_folder(spark)
     dated = read(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
-    # Rebalancing gathers each year's rows for writing, and splits a year that is large.
-    dated.hint("rebalance", "year").write.partitionBy("year").parquet(path)
-    files = [f"{path}/year={year}" for year in (1995, 1996, 1997)]
-    table = Table("orders", (scan_function("read_parquet", files),), ORDERS, planning="filtered")
+    dated.write.partitionBy("year").parquet(path)
+    table = Table("orders", partitioned_files(spark, path, _year_dates), ORDERS, planning="filtered")
     rows = scan(spark, table, where=at("o_orderdate") < dt.datetime(1997, 1, 1))
     return rows.groupBy(F.year("o_orderdate").cast("bigint").alias("year")).agg(
         F.count(F.lit(1)).alias("n"),
@@ -206,7 +233,7 @@ def scan_planned_files(spark: SparkSession, folder: str) -> DataFrame:
 def split_sequence_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Order keys that no line item uses, counted over a sequence made by five tasks."""
     lines = read(spark, folder, "lineitem")
-    total = lines.agg(F.max("l_orderkey")).first()[0] + 1
+    total = lines.agg(F.coalesce(F.max("l_orderkey") + 1, F.lit(0))).first()[0]
     table = Table("keys", (function_branch(split_sequence, total, 5),))
     keys = scan(spark, table)
     used = lines.select("l_orderkey").distinct().withColumn("used", F.lit(True))
@@ -359,12 +386,13 @@ def column_statistics_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT 'priority' AS column_name, count(*) AS row_count,
-           count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS null_count,
-           CAST(4 AS BIGINT) AS distinct_count, '1-URGENT' AS min_value,
-           '4-NOT SPECIFIED' AS max_value, CAST(15 AS BIGINT) AS max_length FROM orders
+    SELECT 'priority' AS column_name, count(*) AS row_count, count(*) - count(p) AS null_count,
+           count(DISTINCT p) AS distinct_count, min(p) AS min_value, max(p) AS max_value,
+           CAST(max(length(p)) AS BIGINT) AS max_length
+    FROM (SELECT NULLIF(o_orderpriority, '5-LOW') AS p FROM orders)
     UNION ALL SELECT 'nothing', count(*), count(*), 0, NULL, NULL, NULL FROM orders
-    UNION ALL SELECT 'late', count(*), 0, 2, NULL, NULL, NULL FROM orders
+    UNION ALL SELECT 'late', count(*), count(*) - count(o_orderdate),
+                     count(DISTINCT year(o_orderdate) > 1998), NULL, NULL, NULL FROM orders
     """
 )
 def column_statistics_nulls(spark: SparkSession, folder: str) -> DataFrame:
@@ -402,10 +430,14 @@ def column_statistics_approx(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def branch_skipping(spark: SparkSession, folder: str) -> DataFrame:
-    """A branch per year with measured date ranges; only the two years asked for are read."""
+    """A branch per year there is, with measured date ranges; only the years asked for are read."""
     source = scan_function("read_parquet", path_of(folder, "orders"))
-    years = tuple(source.filtered(f"{since(y)} AND NOT {since(y + 1)}") for y in range(1995, 2002))
-    table = profile_branches(spark, Table("orders", years, ORDERS), [("o_orderdate",)])
+    dates = source.read(spark, None).agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    span = range(dates[0], dates[1] + 1) if dates[0] is not None else ()
+    years = tuple(source.filtered(f"{since(y)} AND NOT {since(y + 1)}") for y in span)
+    rest = source.filtered("o_orderdate IS NULL")
+    parts = Table("orders", (*years, rest), ORDERS, exclusive=True)
+    table = profile_branches(spark, parts, [("o_orderdate",)])
     when = at("o_orderdate")
     rows = scan(
         spark, table, where=[when >= dt.datetime(1997, 3, 1), when < dt.datetime(1998, 2, 1)]

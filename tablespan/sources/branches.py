@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -53,7 +54,7 @@ def _paths(function: str, arguments: Sequence[Any], lists: bool) -> list[str]:
         raise ValueError(f"{function}: the path list is empty")
     for item in first:
         if item is None:
-            raise ValueError(f"{function}: the path list contains a null entry")
+            raise ValueError(f"{function}: a path in the list is null")
         if not isinstance(item, str):
             raise ValueError(f"{function}: path list entry {item!r} is not a string")
     return list(first)
@@ -101,6 +102,25 @@ def scan_function(function: str, *arguments: Any, **named: Any) -> Branch:
     return Branch(label, read, source=(name, *paths, *sorted(named.items())))
 
 
+def partitioned_files(
+    spark: SparkSession,
+    folder: str,
+    bounds: Callable[[dict[str, str | None]], Mapping[ColumnPath, Bounds]],
+) -> tuple[Branch, ...]:
+    """A branch for each folder of partition values that holds Parquet files.
+
+    ``bounds`` tells from a folder's values what its rows can hold, so a scan reads
+    only folders that its predicates may need.  The driver gets file names.
+    """
+    folders = sorted({file.rsplit("/", 1)[0] for file in spark.read.parquet(folder).inputFiles()})
+    branches = []
+    for place in folders:
+        pairs = [part.split("=", 1) for part in place.split("/") if "=" in part]
+        values = {unquote(k): None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(unquote(v)) for k, v in pairs}
+        branches.append(scan_function("read_parquet", unquote(place)).bounded(bounds(values)))
+    return tuple(branches)
+
+
 def format_branch(
     format_name: str, locations: Sequence[str], options: Mapping[str, Any] | None = None
 ) -> Branch:

@@ -37,11 +37,14 @@ class TextOptions:
         """Read ``delim``, ``header`` and ``nullstr``; other keys are ignored."""
         delimiter = str(options["delim"]) if options.get("delim") is not None else ","
         if len(delimiter) != 1:
-            raise ValueError(f"delim '{delimiter}' is not a single character")
+            raise ValueError(f"the delimiter has to be a single character; got {delimiter!r}")
+        header = options.get("header")
+        if header is not None and not isinstance(header, bool):
+            raise ValueError(f"header must be True or False, not {header!r}")
         null_text = options.get("nullstr")
         return TextOptions(
             delimiter,
-            bool(options.get("header") or False),
+            bool(header),
             None if null_text is None else str(null_text),
         )
 
@@ -140,11 +143,6 @@ def _marked(lines: DataFrame, *metadata: str) -> DataFrame:
     return hashed.withColumn("begins_file", begins_file("hash_a", "hash_b", "offset"))
 
 
-# Above this many files their headers are found by one distributed pass over the
-# text instead of one small read per file.
-HEADER_READS = 1000
-
-
 def _files_of(spark: SparkSession, locations: Sequence[str]) -> list[str]:
     """Every file a location names: itself, a folder's files, or a glob's matches."""
     with ThreadPoolExecutor(max_workers=16) as pool:
@@ -158,24 +156,25 @@ def _plain(path: str) -> str:
 
 
 def _headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
-    """The first line of every file that has one."""
-
-    def first_line(file: str) -> str | None:
-        lines = spark.read.text(file).where("_metadata.file_block_start = 0")
-        first = lines.select("value").head(1)
-        return first[0][0] if first else None
+    """The first line of every file that has one.
 
+    One job whatever the number of files.  The driver, which holds the files' names
+    already, gets one number per file and the text of each different header once.
+    """
     distinct = sorted(set(files))
-    if len(distinct) <= HEADER_READS:
-        with ThreadPoolExecutor(max_workers=16) as pool:
-            lines = zip(distinct, pool.map(first_line, distinct))
-            return {file: line for file, line in lines if line is not None}
-    marked = _marked(spark.read.text(distinct), "_metadata.file_path")
-    rows = marked.where(F.col("begins_file")).select("file_path", "value").collect()
-    lines = {_plain(row.file_path): row.value for row in rows}
+    marked = _marked(spark.read.text([_literal(f) for f in distinct]), "_metadata.file_path")
+    first = marked.where(F.col("begins_file")).groupBy("value").agg(F.collect_list("file_path").alias("paths"))
+    lines: dict[str, str] = {}
+    for row in first.toLocalIterator():
+        lines.update((_plain(path), row.value) for path in row.paths)
     return {file: lines[_plain(file)] for file in distinct if _plain(file) in lines}
 
 
+def _literal(path: str) -> str:
+    """A file's name with the signs escaped that a glob would read as its own."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def read_delimited(
     spark: SparkSession, locations: Sequence[str], declared: T.StructType, options: TextOptions
 ) -> DataFrame:
@@ -206,6 +205,6 @@ def read_delimited(
     for (header, _), group in layouts.items():
         position = {name: i for i, name in enumerate(header.split(options.delimiter))}
         named = [position.get(name) for name in schema.fieldNames()]
-        rows = _marked(spark.read.text(group)).where(~F.col("begins_file"))
+        rows = _marked(spark.read.text([_literal(f) for f in group])).where(~F.col("begins_file"))
         parts.append(_cells(rows, schema, named, options))
     return union_all(parts)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from tablespan.plans.predicates import RequiredFilterError, at
 from tablespan.plans.scan import scan
 from tablespan.plans.tables import Table, UnknownVersionError, Version, VersionedTable
-from tablespan.sources import delimited
+
 from tablespan.sources.branches import (
     format_branch,
     frame_branch,
@@ -123,10 +123,8 @@ def test_only_csv_is_a_format_branch(name):
         format_branch(name, ["f"])
 
 
-@pytest.mark.parametrize("reads", [1000, 0])
-def test_headers_of_files_cut_into_many_tasks(spark, tmp_path, monkeypatch, reads):
+def test_headers_of_files_cut_into_many_tasks(spark, tmp_path):
     """Every header goes and every line that merely looks like one stays."""
-    monkeypatch.setattr(delimited, "HEADER_READS", reads)
     body = "".join(f"{i},label\n" if i % 3 else "n,label\n" for i in range(2000))
     paths = [text(tmp_path, f"{i}.csv", "n,label\n" + body) for i in range(3)]
     schema = T.StructType().add("n", T.StringType()).add("label", T.StringType())
@@ -143,6 +141,32 @@ def test_headers_of_files_cut_into_many_tasks(spark, tmp_path, monkeypatch, read
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_file_names_are_not_patterns(spark, tmp_path):
+    paths = [text(tmp_path, name, f"n,label\n{i},x\n") for i, name in enumerate(["a[1].csv", "b{c}.csv", "d e.csv", "a1.csv"])]
+    schema = T.StructType.fromDDL("n int, label string")
+    folder = scan(spark, text_table([str(tmp_path)], schema, header=True))
+    assert sorted(r.n for r in folder.collect()) == [0, 1, 2, 3] and len(paths) == 4
+
+
+def test_many_files_with_three_headers_need_few_jobs(spark, tmp_path):
+    for i in range(120):
+        text(tmp_path, f"{i}.csv", ["n,label\n{},x\n", "label,n\nx,{}\n", "n\n{}\n"][i % 3].format(i))
+    group = "headers-of-many-files"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        rows = scan(spark, text_table([str(tmp_path)], T.StructType.fromDDL("n int, label string"), header=True))
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 6
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r.n for r in rows.collect()) == list(range(120)) and rows.where("label = 'x'").count() == 80
+
+
+@pytest.mark.parametrize("value", ["false", "true", 1, 0])
+def test_header_must_be_a_boolean(value):
+    with pytest.raises(ValueError, match="header"):
+        format_branch("csv", ["f"], {"header": value})
+
+
 CELL = st.text(alphabet="ab,|x1", max_size=4)
 
 
@@ -171,7 +195,7 @@ def test_scan_function_arguments():
     for bad, message in [
         (lambda: scan_function("read_parquet"), "no path"),
         (lambda: scan_function("read_parquet", []), "empty"),
-        (lambda: scan_function("read_parquet", ["a", None]), "null entry"),
+        (lambda: scan_function("read_parquet", ["a", None]), "is null"),
         (lambda: scan_function("read_parquet", 7), "int"),
         (lambda: scan_function("read_csv", "a", header=True), "header"),
         (lambda: scan_function("iceberg_scan", ["a"]), "one table location"),

@@ -14,19 +14,20 @@ from tablespan.operators import aggregates
 from tablespan.operators.aggregates import user_aggregate
 from tablespan.operators.asof import latest_as_of
 from tablespan.operators.compare import as_text, frames_diff
-from tablespan.operators.layout import (
-    coalesce_for_workers,
-    key_grouped,
-    largest_share,
-    store_key_grouped,
-)
-from tablespan.operators.statistics import column_statistics, profile_branches
+from tablespan.operators.layout import key_grouped, largest_share, store_key_grouped
+from tablespan.operators.statistics import column_statistics, estimated_rows, profile_branches
 from tablespan.plans.catalog import Catalog, UnknownTableError
-from tablespan.plans.predicates import at
+from tablespan.functions.vectors import group_centroids
+from tablespan.plans.predicates import Bounds, at
 from tablespan.plans.scan import kept_branches, scan
 from tablespan.plans.tables import Table
-from tablespan.queries.aggregates import CommonDivisor, Spread
-from tablespan.sources.branches import frame_branch, function_branch, scan_function
+from tablespan.queries.aggregates import CommonDivisor
+from tablespan.sources.branches import (
+    frame_branch,
+    function_branch,
+    partitioned_files,
+    scan_function,
+)
 from tablespan.sources.sequences import sequence
 
 # Workers cannot import this file, so what they need of it travels with the job.
@@ -151,17 +152,17 @@ def test_keys_inside_structs(spark):
     frame = spark.range(0, 400, 1, 20).selectExpr("named_struct('a', id % 4) AS s", "id")
     laid = key_grouped(frame, [("s", "a")], 4)
     assert exchanges(laid.groupBy("s.a").count()) == 1
-    capped = coalesce_for_workers(frame, 4, [("s", "a")])
-    assert capped.columns == ["s", "id"] and capped.rdd.getNumPartitions() == 4
-    assert capped.select("s.a", F.spark_partition_id()).distinct().count() == 4
 
 
-def test_uneven_keys_are_not_laid_out(spark):
+def test_uneven_keys_can_be_refused(spark, tmp_path):
     frame = third(spark)
     assert largest_share(frame, ["k"]) == pytest.approx(1 / 3, abs=1e-3)
-    laid = key_grouped(frame, ["k"], 8)
-    assert exchanges(laid) == 0
-    assert laid.groupBy("k").count().where("k = 0").first()["count"] == 10_000
+    with pytest.raises(ValueError, match="33.3%"):
+        key_grouped(frame, ["k"], most_share=0.25)
+    with pytest.raises(ValueError, match="33.3%"):
+        store_key_grouped(frame, "laid_uneven", ["k"], 8, f"{tmp_path}/u", most_share=0.25)
+    laid = key_grouped(frame, ["k"], most_share=0.5)
+    assert exchanges(laid) == 1 and laid.groupBy("k").count().where("k = 0").first()["count"] == 10_000
     assert largest_share(frame.where("v < 0"), ["k"]) == 0.0
 
 
@@ -172,8 +173,7 @@ def test_stored_grouping_needs_no_exchange(spark, tmp_path):
             spark.range(100).selectExpr("id % 9 AS k", "id AS v"), "laid_left", ["k"], 4, f"{tmp_path}/l"
         )
         right = store_key_grouped(
-            spark.range(9).selectExpr("id AS k", "id * 2 AS w"), "laid_right", ["k"], 4, f"{tmp_path}/r",
-            share=0.2,
+            spark.range(9).selectExpr("id AS k", "id * 2 AS w"), "laid_right", ["k"], 4, f"{tmp_path}/r"
         )
         joined = left.join(right, "k").groupBy("k").agg(F.sum("w").alias("w"))
         assert exchanges(joined) == 0
@@ -184,43 +184,6 @@ def test_stored_grouping_needs_no_exchange(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS laid_right")
 
 
-def test_uneven_keys_are_stored_without_buckets(spark, tmp_path):
-    try:
-        stored = store_key_grouped(third(spark), "laid_uneven", ["k"], 8, f"{tmp_path}/u")
-        assert stored.count() == 30_000
-        assert exchanges(stored.groupBy("k").count()) == 1
-        described = spark.sql("DESCRIBE EXTENDED laid_uneven").collect()
-        assert not any("Bucket" in r.col_name for r in described)
-    finally:
-        spark.sql("DROP TABLE IF EXISTS laid_uneven")
-
-
-def test_worker_cap_with_few_keys(spark):
-    frame = spark.range(0, 1000, 1, 20).selectExpr("if(id % 4 = 3, null, id % 4) AS k", "id AS v")
-    capped = coalesce_for_workers(frame, 4, ["k"])
-    assert capped.rdd.getNumPartitions() == 4
-    found = capped.select("k", F.spark_partition_id().alias("p")).distinct().collect()
-    assert len(found) == 4 and len({r.p for r in found}) == 4
-    assert frames_diff(capped, frame).count() == 0
-
-
-def test_worker_cap_without_usable_keys(spark):
-    frame = spark.range(0, 1000, 1, 20).selectExpr("id AS k")
-    for keys in ([], ["k"]):
-        capped = coalesce_for_workers(frame, 3, keys)
-        assert capped.rdd.getNumPartitions() == 3
-        assert capped.count() == 1000
-    assert coalesce_for_workers(frame, 30).rdd.getNumPartitions() == 20
-    with pytest.raises(ValueError):
-        coalesce_for_workers(frame, 0)
-
-
-def test_worker_cap_gives_up_grouping_for_a_heavy_key(spark):
-    frame = spark.range(0, 1000, 1, 20).selectExpr("if(id % 3 = 0, 0, id % 7) AS k")
-    capped = coalesce_for_workers(frame, 8, ["k"])
-    assert exchanges(capped) == 0 and capped.rdd.getNumPartitions() == 8
-
-
 # As-of
 
 
@@ -301,6 +264,28 @@ def test_aggregate_of_pinned_groups(spark):
     assert [tuple(r) for r in rows] == [(1, 6), (2, 25)]
 
 
+class Spread:
+    """Largest minus smallest value, times the share of rows that have one."""
+
+    state = "low double, high double, present bigint, total bigint"
+    result = "double"
+
+    def start(self, rows):
+        value = rows.iloc[:, 0]
+        present = value.notna().astype("int64[pyarrow]")
+        one = pd.Series(1, index=rows.index, dtype="int64[pyarrow]")
+        return pd.DataFrame({"low": value, "high": value, "present": present, "total": one})
+
+    def combine(self, groups):
+        return groups.agg({"low": "min", "high": "max", "present": "sum", "total": "sum"})
+
+    def finish(self, states):
+        return (states.high - states.low) * states.present / states.total
+
+    def empty(self):
+        return (None, None, 0, 0)
+
+
 def test_aggregates_see_nulls_and_null_keys(spark):
     frame = spark.createDataFrame([("a", 1.0), ("a", None), (None, 5.0), (None, 9.0)], "k string, v double")
     rows = {r.k: r.s for r in user_aggregate(frame, ["k"], Spread(), ["v"], "s").collect()}
@@ -354,6 +339,85 @@ def test_common_divisor_against_brute_force(spark):
     assert {r.k: r.g for r in found} == expected
 
 
+@pytest.mark.parametrize("shares", [1, 4])
+def test_float_keys_group_as_in_spark(spark, shares):
+    values = [0.0, -0.0, math.nan, None, 1.5, 0.0, -0.0]
+    frame = spark.createDataFrame([(v,) for v in values] * 40, "k double").repartition(4)
+    counted = user_aggregate(frame, ["k"], Count(), result="n", shares=shares)
+    assert frames_diff(counted, frame.groupBy("k").agg(F.count(F.lit(1)).alias("n"))).count() == 0
+    assert exchanges(user_aggregate(spark.range(9), ["id"], Count())) == 1
+
+
+def test_wide_rows_are_folded_in_bounded_pieces(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "BYTES_AT_ONCE", 1)
+    frame = spark.range(1000).selectExpr("id % 3 AS k", "repeat('x', 1000) AS v")
+    assert {r.result for r in user_aggregate(frame, ["k"], Count(), ["v"]).collect()} == {333, 334}
+
+
+def test_statistics_name_every_unknown_column(spark):
+    with pytest.raises(ValueError, match="zzz.*yyy"):
+        column_statistics(spark.range(3), ["id", "zzz", "yyy"])
+
+
+def test_row_estimates_come_from_the_owner_or_from_measured_branches(spark):
+    branches = tuple(frame_branch(spark.range(n).toDF("n")) for n in (3, 4))
+    table = Table("t", branches, T.StructType().add("n", T.LongType()))
+    assert estimated_rows(table) is None
+    assert estimated_rows(profile_branches(spark, table, [("n",)])) == 7
+    assert estimated_rows(replace(table, row_estimate=10_000)) == 10_000
+
+
+def test_as_of_needs_keys(spark):
+    with pytest.raises(ValueError, match="key"):
+        latest_as_of(spark.range(3), [], "id", dt.datetime(2024, 1, 1))
+
+
+def test_hundreds_of_filtered_branches_share_a_read(spark, tmp_path):
+    spark.range(1000).toDF("n").write.parquet(f"{tmp_path}/n")
+    source = scan_function("read_parquet", f"{tmp_path}/n")
+    parts = tuple(source.filtered(f"n % 1000 = {i}") for i in range(1000))
+    schema = T.StructType().add("n", T.LongType())
+    for exclusive in (True, False):
+        assert scan(spark, Table("t", parts, schema, exclusive=exclusive)).count() == 1000
+    twice = Table("t", (source.filtered("n < 10"), source.filtered("n < 20")), schema)
+    assert scan(spark, twice).count() == 30
+
+
+def test_zoned_and_local_moments_do_not_skip_branches(spark):
+    known = Bounds(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
+    later = at("t") > dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)
+    assert later.may_hold({("t",): known})
+    assert not (at("t") > dt.datetime(2030, 1, 1)).may_hold({("t",): known})
+
+
+def test_planned_files_follow_the_data(spark, tmp_path):
+    days = spark.sql(
+        """SELECT if(id % 11 = 0, NULL, timestampadd(DAY, cast(id * 40 AS int), TIMESTAMP_NTZ '1990-01-01')) AS day, id
+        FROM range(200) WHERE id NOT BETWEEN 20 AND 60"""
+    )
+    days.withColumn("year", F.year("day")).write.partitionBy("year").parquet(f"{tmp_path}/d")
+
+    def dates(values):
+        if values["year"] is None:
+            return {}
+        year = int(values["year"])
+        return {("day",): Bounds(dt.datetime(year, 1, 1), dt.datetime(year, 12, 31, 23, 59, 59, 999999))}
+
+    branches = partitioned_files(spark, f"{tmp_path}/d", dates)
+    table = Table("d", branches, days.schema, planning="filtered")
+    early = at("day") < dt.datetime(1992, 1, 1)
+    assert {b.label[-5:-1] for _, b in kept_branches(table, [early])} == {"1990", "1991", "ON__"}
+    assert scan(spark, table, where=early).count() == days.where("day < '1992-01-01'").count() > 0
+    assert scan(spark, table).count() == days.count()
+    assert scan(spark, table, where=at("day") > dt.datetime(2050, 1, 1)).count() == 0
+
+
+def test_centroids_keep_groups_without_cells(spark):
+    frame = spark.createDataFrame([(1, [1.0, 3.0]), (1, [3.0]), (2, []), (3, None)], "k int, v array<double>")
+    found = {r.k: r.centroid for r in group_centroids(frame, ["k"], "v").collect()}
+    assert found == {1: [2.0, 3.0], 2: None, 3: None}
+
+
 # Catalog
 
 

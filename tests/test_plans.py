@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from tablespan.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,13 +15,13 @@ def plans(spark):
     try:
         return {
             name: query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-            for name, query in contract.queries().items()
+            for name, query in QUERIES.items()
         }
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_plan_pairs_everything_or_runs_python_by_row(plans, name):
     plan = plans[name]
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "FlatMapGroups"):
