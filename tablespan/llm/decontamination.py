@@ -313,7 +313,31 @@ def clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     return docs.join(found, same, "left_anti")
 
 
-@query()
+@query(
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item,
+                 regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+          FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+    starts AS (SELECT item, w, least(13, len(w)) AS size, unnest(range(len(w) - least(13, len(w)) + 1)) AS i
+               FROM b WHERE len(w) > 0),
+    windows AS (SELECT DISTINCT item, size, array_to_string(w[i + 1 : i + size], ' ') AS phrase FROM starts),
+    sizes AS (SELECT DISTINCT size FROM windows),
+    places AS (SELECT r, w, size, unnest(range(len(w) - size + 1)) AS i FROM d, sizes WHERE len(w) >= size),
+    found AS (SELECT r, i, p.size, item FROM places p
+              JOIN windows v ON v.size = p.size AND v.phrase = array_to_string(w[i + 1 : i + p.size], ' ')),
+    hit AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + size)) AS k FROM found) GROUP BY r),
+    items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+              FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+           sha256(coalesce(items.names, '')) AS items_sha256,
+           coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+    """
+)
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = contamination(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return result.select(

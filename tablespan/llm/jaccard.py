@@ -324,6 +324,23 @@ def first_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return marked.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE d AS (
+      SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT r, array_to_string(w[i + 1 : i + 5], ' ') AS t
+          FROM (SELECT r, w, unnest(range(greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+    links AS (SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.t = b.t AND a.r <> b.r
+              JOIN n x ON x.r = a.r JOIN n y ON y.r = b.r
+              GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+    reach(a, b) AS (SELECT r, r FROM n UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    least_id AS (SELECT reach.a AS r, min(doc_id) AS c FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a)
+    SELECT doc_id, coalesce(n.n, 0) AS n_shingles, CASE WHEN n.n IS NULL THEN doc_id ELSE c END AS component_id
+    FROM d LEFT JOIN n USING (r) LEFT JOIN least_id USING (r)
+    """
+)
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read(spark, sf_dir, "documents")).drop("text_hash", "label")
