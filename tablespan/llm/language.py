@@ -39,8 +39,9 @@ ROUNDS = 3
 SMOOTHING = 0.2  # of a count, added to every piece
 TRAIN_WORD_BYTES = 24  # longer words are left out of learning
 EVIDENCE_WORDS = 20  # a longer text's evidence is scaled to so many words for the score
-KNOWN_WORDS = 300_000  # a process remembers so many, then starts anew
-CELLS = 1 << 18  # words times bytes at once
+SLICE_ROWS = 500  # of a batch that are worked on at once
+KNOWN_WORDS = 120_000  # a process remembers so many, then starts anew
+CELLS = 1 << 16  # words times bytes at once
 UNKNOWN = "und"
 LEAST_SCORE = 0.5  # of a document that is taken to be in a language
 HELD_OUT = 5
@@ -126,9 +127,8 @@ def log_probabilities(pieces: Pieces, chances: np.ndarray, words: list[bytes]) -
     hashes = SpanHashes(_BYTE_VALUES[buffer])
     k = chances.shape[1]
     out = np.zeros((len(words), k))
-    reach = pieces.lengths[-1]
     for group in _groups(lengths):
-        n = len(group)
+        n, reach = len(group), min(pieces.lengths[-1], int(lengths[group].max()))
         ring = np.zeros((reach + 1, n, k))  # sums for the last positions, all on the scale of `scale`
         ring[0] = 1.0
         scale = np.zeros((n, k))
@@ -184,9 +184,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n): how often each word occurs in each language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for given in batches:
-            for lang in given.column("lang").unique().to_pylist():
-                rows = given.filter(pa.compute.equal(given.column("lang"), lang))
+        slices = (given.slice(at, SLICE_ROWS) for given in batches for at in range(0, given.num_rows, SLICE_ROWS))
+        for part in slices:
+            for lang in part.column("lang").unique().to_pylist():
+                rows = part.filter(pa.compute.equal(part.column("lang"), lang))
                 for block in blocks(_lowered(rows.column("text")), lower=False):
                     starts, ends, _ = block.words(LETTERS)
                     distinct, first, place = distinct_values(block.hashes().of(starts, ends))
@@ -265,50 +266,57 @@ def _scores(model: Model, words: list[bytes], hashes: list[int]) -> np.ndarray:
     return _known["rows"][at]
 
 
-def identified(docs: DataFrame, model: Model, carried: list[str]) -> DataFrame:
-    """The carried columns of each row with `lang_pred` and `score`; neither name may be carried."""
-    spark = docs.sparkSession
-    rows = docs.select(*carried, F.col("text").alias("text_to_score"))
+def identified(docs: DataFrame, model: Model, carried: list[str], text: str = "text") -> DataFrame:
+    """The carried columns of each row with `lang_pred` and `score`; neither name may be carried.
+
+    Batches are worked on in slices, so what a task holds beside a batch is bounded.
+    """
     ended = Model(model.languages, model.pieces, np.vstack([model.chances, np.zeros(len(model.languages))]))
-    shared = spark.sparkContext.broadcast(ended)
+    shared = docs.sparkSession.sparkContext.broadcast(ended)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        k = len(own.languages)
         for given in batches:
-            column = given.column("text_to_score")
-            predicted: list[str] = []
-            scores: list[float] = []
-            originals = column.to_pylist()
-            for block in blocks(_lowered(column), lower=False):
-                starts, ends, bounds = block.words(LETTERS)
-                n = len(bounds) - 1
-                sums = np.zeros((n, max(1, k)))
-                if len(starts) and k:
-                    distinct, first, place = distinct_values(block.hashes().of(starts, ends))
-                    whole = block.buffer.tobytes()
-                    words = [whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-                    logs = _scores(own, words, distinct.tolist())[place].astype(np.float64)
-                    before = np.vstack([np.zeros(k), np.cumsum(logs, axis=0)])
-                    sums = before[bounds[1:]] - before[bounds[:-1]]
-                count = np.diff(bounds)
-                sums = sums / np.maximum(1.0, count / EVIDENCE_WORDS)[:, None]
-                chance = np.exp(sums - sums.max(axis=1, keepdims=True))
-                chance /= chance.sum(axis=1, keepdims=True)
-                best = chance.argmax(axis=1)
-                for i in range(n):
-                    text = originals[block.first + i]
-                    if k and count[i] and text and _has_letter(text):
-                        predicted.append(own.languages[best[i]])
-                        scores.append(float(chance[i, best[i]]))
-                    else:
-                        predicted.append(UNKNOWN)
-                        scores.append(0.0)
-            kept_columns = [given.column(c) for c in carried]
-            yield pa.RecordBatch.from_arrays([*kept_columns, pa.array(predicted, pa.string()), pa.array(scores, pa.float64())], names=[*carried, "lang_pred", "score"])
-
-    kinds = ", ".join(f"`{c}` {dict(docs.dtypes)[c]}" for c in carried)
-    return rows.mapInArrow(score, f"{kinds}, lang_pred string, score double")
+            for at in range(0, given.num_rows, SLICE_ROWS):
+                part = given.slice(at, SLICE_ROWS)
+                predicted, scores = _predictions(shared.value, part.column(text).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in carried), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*carried, "lang_pred", "score"],
+                )
+            pa.default_memory_pool().release_unused()
+
+    types = dict(docs.dtypes)
+    kinds = ", ".join(f"`{c}` {types[c]}" for c in carried)
+    return docs.select(*dict.fromkeys([*carried, text])).mapInArrow(score, f"{kinds}, lang_pred string, score double")
+
+
+def _predictions(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """The language and the score of each text."""
+    k = len(model.languages)
+    predicted: list[str] = []
+    scores: list[float] = []
+    for block in blocks([(text or "").lower().encode() for text in texts], lower=False):
+        starts, ends, bounds = block.words(LETTERS)
+        n = len(bounds) - 1
+        sums = np.zeros((n, max(1, k)))
+        if len(starts) and k:
+            distinct, first, place = distinct_values(block.hashes().of(starts, ends))
+            whole = block.buffer.tobytes()
+            words = [whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            logs = _scores(model, words, distinct.tolist())[place].astype(np.float64)
+            before = np.vstack([np.zeros(k), np.cumsum(logs, axis=0)])
+            sums = before[bounds[1:]] - before[bounds[:-1]]
+        count = np.diff(bounds)
+        sums = sums / np.maximum(1.0, count / EVIDENCE_WORDS)[:, None]
+        chance = np.exp(sums - sums.max(axis=1, keepdims=True))
+        chance /= chance.sum(axis=1, keepdims=True)
+        best = chance.argmax(axis=1)
+        for i in range(n):
+            text = texts[block.first + i]
+            known = bool(k and count[i] and text and _has_letter(text))
+            predicted.append(model.languages[best[i]] if known else UNKNOWN)
+            scores.append(float(chance[i, best[i]]) if known else 0.0)
+    return predicted, scores
 
 
 def _has_letter(text: str) -> bool:
@@ -322,8 +330,9 @@ def model_for(spark: SparkSession, docs: DataFrame) -> Model:
 def in_known_languages(spark: SparkSession, docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The documents that have a language with at least that score, with all their columns."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)), "text")
-    kept_rows = identified(rows, model_for(spark, docs), names).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)))
+    text = names[docs.columns.index("text")]
+    kept_rows = identified(rows, model_for(spark, docs), names, text).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return kept_rows.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
 
 

@@ -29,7 +29,7 @@ from tablespan.sources.shared import kept
 SEQUENCE_TOKENS = 2048
 TERMINATOR = 1
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the same ids as byte_bpe_50k.json
-BLOCK_CHARACTERS = 1 << 19
+BLOCK_CHARACTERS = 1 << 18
 
 TOKENS = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("before", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
 
@@ -62,6 +62,7 @@ def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY, terminator: int = T
                 )
                 total += int(bounds[-1])
                 at = end
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         encode, "part int, doc_id long, before long, doc_tokens long, ids binary"

@@ -23,7 +23,7 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: The code points with the property White_Space.
 WHITE_SPACE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-KNOWN_PRETOKENS = 400_000  # a process keeps so many, then starts anew
+KNOWN_PRETOKENS = 200_000  # a process keeps so many, then starts anew
 
 
 @cache
