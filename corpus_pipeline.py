@@ -4,12 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 again as the next stage's documents. All but the last return the columns of the documents.
 
 A stage's intermediate tables are needed until its result is written. They are dropped when the next stage
-begins, whose documents are that written result; a stage whose documents still read them leaves them.
+in the order begins, whose documents are that written result; they stay while its documents read them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,20 +23,29 @@ from tablespan.sources.shared import drop_folders, kept, recorded
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-_finished: list[str] = []
+#: Folders with intermediate tables of each stage; those of the last stage belong to its reader.
+_made: dict[str, list[str]] = {}
 
 
-def _stage(work: Stage) -> Stage:
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        if _finished and not _reads(docs, _finished):
-            drop_folders(spark, _finished)
-        _finished.clear()
-        with recorded() as folders:
-            result = work(spark, docs, sf_dir)
-        _finished.extend(folders)
-        return result
+def _stage(after: str | None, last: bool = False) -> Callable[[Stage], Stage]:
+    """A stage that drops the intermediate tables of the one before it, and has its own recorded."""
 
-    return run_stage
+    def wrap(work: Stage) -> Stage:
+        @wraps(work)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            before = _made.get(after or "", [])
+            if before and not _reads(docs, before):
+                drop_folders(spark, before)
+                before.clear()
+            with recorded() as folders:
+                result = work(spark, docs, sf_dir)
+            if not last:
+                _made.setdefault(work.__name__, []).extend(folders)
+            return result
+
+        return run_stage
+
+    return wrap
 
 
 def _reads(docs: DataFrame, folders: list[str]) -> bool:
@@ -43,31 +53,31 @@ def _reads(docs: DataFrame, folders: list[str]) -> bool:
     return any(name in file for file in docs.inputFiles() for name in names)
 
 
-@_stage
+@_stage(after=None)
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language, or with an unsure one, go."""
     return in_known_languages(spark, docs)
 
 
-@_stage
+@_stage(after="language")
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return first_of_each(spark, docs)
 
 
-@_stage
+@_stage(after="near_duplicates")
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with too many words of the benchmark's passages go."""
     return clean(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-@_stage
+@_stage(after="decontamination")
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in texts is masked."""
     return masked(spark, docs)
 
 
-@_stage
+@_stage(after="personal_data", last=True)
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences, with their token ids."""
     return packed(spark, docs)

@@ -80,12 +80,15 @@ def test_odd_documents_and_clashing_names(spark):
 
 def test_intermediate_tables_are_dropped_by_the_next_stage(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    lazy = stages["decontamination"](spark, docs, SMALL)
-    made = list(P._finished)
-    result = stages["decontamination"](spark, lazy, SMALL)  # still reads the tables of the first call
-    assert made and result.count() > 0
-    whole = kept(spark, lazy)
-    made = list(P._finished)
-    stages["decontamination"](spark, whole, SMALL)
     path = spark._jvm.org.apache.hadoop.fs.Path
-    assert made and not any(path(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(f)) for f in made)
+    there = lambda f: path(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(f))
+    P._made.clear()
+    lazy = stages["decontamination"](spark, docs, SMALL)
+    stages["decontamination"](spark, docs, SMALL)
+    made = list(P._made["decontamination"])
+    assert stages["personal_data"](spark, lazy, SMALL).count() > 0 and all(map(there, made))  # still read
+    stages["personal_data"](spark, kept(spark, lazy), SMALL)
+    assert made and not any(map(there, made)) and not P._made["decontamination"]
+    packed = stages["packing"](spark, docs, SMALL)
+    stages["language"](spark, docs, SMALL)
+    assert packed.count() > 0 and "packing" not in P._made
