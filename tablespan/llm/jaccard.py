@@ -8,8 +8,8 @@ boundary is where the estimated cost of both is least.
 
 Lists are not expanded into pairs. In rounds, one set of each list is paired with the others, first the most central
 one and then by a hash; what shares enough tokens is verified on whole sets, and links give components. Lists
-with one component are done. When lists with several would give no more pairs than they have entries,
-or after a fixed number of rounds, these give all pairs across components, which are verified in the same way. Two similar sets
+with one component are done. When lists with several would give no more pairs than they have entries, or a round
+no longer halves their pairs, they give the pairs across components that are in enough lists, which are verified in the same way. Two similar sets
 share a list, so they are linked, or in one component, or such a pair: no link between components is lost.
 
 Words are runs of non-blanks, A-Z lower-cased; a set has the distinct five-word shingles, or the whole
@@ -39,7 +39,7 @@ SHINGLE = 5
 SKETCH = 1 << 20  # counters of the token sketch
 SIZES = 1 << 8  # set sizes counted one by one, to choose the boundary
 SCAN_COST = 4  # of a list entry that is scanned, in subsets that are enumerated
-STAR_ROUNDS = 6  # at most, before what is left is paired
+STAR_ROUNDS = 8  # at most, before what is left is paired
 PAIRS_PER_ENTRY = 1  # pairs across components that are few enough to be made
 HOME_TOKENS = 250_000  # of sets that are compared with one set in one group
 BROADCAST_ROWS = 200_000  # requests for sets that are sent to all tasks; more are joined by a shuffle
@@ -248,9 +248,16 @@ def _stars(entries: DataFrame, weight: Column) -> DataFrame:
 
 
 def _across(entries: DataFrame) -> DataFrame:
-    """Pairs of sets of different labels in one list."""
-    a, b = (entries.select("token", *(F.col(c).alias(f"{side}{c}") for c in ("node", "size", "label"))) for side in "ab")
-    pairs = a.join(b, "token").filter("anode < bnode AND alabel <> blabel")
+    """Pairs of sets of different labels in one list, each in enough such lists for the pair to link.
+
+    Two sets share at most as many lists as the one in fewer of them is in, so the rule for pairs
+    that share enough already holds back most pairs when their lists meet.
+    """
+    entries = entries.join(entries.groupBy("node").agg(F.count("*").alias("lists")), "node")
+    a, b = (entries.select("token", *(F.col(c).alias(f"{side}{c}") for c in ("node", "size", "label", "lists"))) for side in "ab")
+    odd = a.token.bitwiseAND(F.lit(1))
+    able = _enough(a.asize, b.bsize, F.least(a.alists, b.blists), odd) & _alike(a.asize, b.bsize)
+    pairs = a.join(b, (a.token == b.token) & (a.anode < b.bnode) & (a.alabel != b.blabel) & able).drop(b.token)
     return pairs.select(F.col("anode").alias("a"), F.col("bnode").alias("b"), F.col("asize").alias("a_size"), F.col("bsize").alias("b_size"), "token")
 
 
@@ -261,7 +268,7 @@ def node_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Da
     central = lists.groupBy("node").agg((F.count("*") / F.max("size")).alias("central"))
     entries = kept(spark, lists.join(central, "node").distinct().withColumn("label", F.col("node")))
     links = spark.createDataFrame([], "a long, b long")
-    weight = F.col("central")
+    weight, before = F.col("central"), float("inf")
     for n in range(STAR_ROUNDS):
         found = kept(spark, verified(spark, docs, sets, _candidates(_stars(entries, weight))))
         links = links.unionAll(found)
@@ -271,8 +278,9 @@ def node_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Da
         by_label = entries.groupBy("token", "label").agg(F.count("*").alias("n"))
         by_token = by_label.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
         sums = by_token.agg(F.sum("n").alias("entries"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
-        if not sums.entries or sums.pairs <= PAIRS_PER_ENTRY * sums.entries:
+        if not sums.entries or sums.pairs <= PAIRS_PER_ENTRY * sums.entries or 2 * sums.pairs > before:
             break
+        before = sums.pairs
         weight = F.xxhash64("node", F.lit(n))
     more = verified(spark, docs, sets, _candidates(_across(entries)))
     return components(spark, links.unionAll(more))
