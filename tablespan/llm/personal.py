@@ -1,8 +1,9 @@
 """Personal data in texts, in DataFrame functions throughout: fixed patterns, then bootstrapped contexts.
 
 Base kinds are found by patterns and checked (address parts, Luhn sums, numbers of digits). They seed a
-search for identifiers that no pattern knows. A mention is a word with a digit or an @; the two words
-before it are its lexical pattern. Patterns and instances form a graph, in which scores go back and forth:
+search for identifiers that no pattern knows: each checked span is a seed as a whole, also with blanks in it,
+and spans that overlap are one. In the text around them a mention is a word, or the rest of one, with a digit or
+an @. The two words before it are its lexical pattern. Patterns and instances form a graph, in which scores go back and forth:
 a pattern is as good as the mean of its instances, damped where it has few, and an instance is as
 good as its patterns make it together (noisy or); seeds keep a score of one. Instances that have a
 high score in the end are reported wherever they stand, as kind `context`.
@@ -17,6 +18,8 @@ are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +42,9 @@ NEEDED = {
 }
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PARTS = rf"^(?:{BYTE}\.){{3}}{BYTE}$"
-MENTION = r"(?<![^\s])[^\s0-9@]*+[0-9@][^\s]*+"
+#: Noncharacters that stand for checked spans while mentions are cut: the first sign of a span by kind, and all its others.
+FIRSTS, REST, STRAY = "\uFDD0\uFDD1\uFDD2\uFDD3", "\uFDD4", "\uFDEF"
+MENTION = rf"[{FIRSTS}]{REST}*+|(?<![^\s{FIRSTS}{REST}])[^\s0-9@{FIRSTS}{REST}]*+[0-9@][^\s{FIRSTS}{REST}]*+"
 CONTEXT_CHARACTERS = 80  # before a mention, in which its two words of context stand
 CONTEXT = r"(?:^|\s)(\S+\s+\S+)\s+$"
 
@@ -76,6 +81,23 @@ def _passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _runs(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """What the values before each run of RUN make together; NULL without values."""
+    zero = F.lit(0).cast("long")
+    made = F.aggregate(
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int")),
+        F.array(zero),
+        lambda sums, k: F.array_append(sums, merge(F.element_at(sums, -1), F.aggregate(F.slice(values, k * RUN + 1, RUN), zero, merge))),
+    )
+    return F.when(F.size(values) > 0, made)
+
+
+def _upto(values: Column, runs: Column, n: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """What the first n values make together."""
+    run = F.floor(n / RUN).cast("int")
+    return merge(F.get(runs, run), F.aggregate(F.slice(values, run * RUN + 1, n - run * RUN), F.lit(0).cast("long"), merge))
+
+
 def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFrame:
     """For each name a column of that name: all matches in `text`, as (start, stop, value, before).
 
@@ -90,7 +112,6 @@ def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFra
         rows = rows.withColumn(f"{name}_between", F.when(F.size(f"{name}_found") > 0, F.split("text", pattern, -1)).otherwise(nothing))
     carried = [c for c in others if c != "text"]
     add = lambda a, b: a + b
-    zero = F.lit(0).cast("long")
 
     def steps(name: str) -> Column:
         found = F.col(f"{name}_found")
@@ -101,24 +122,11 @@ def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFra
 
     keep = [c for name in patterns for c in (f"{name}_found", f"{name}_between")]
     rows = rows.select(*carried, *keep, *(steps(name).alias(f"{name}_steps") for name in patterns))
-
-    def bases(name: str) -> Column:
-        """The sums before each run of steps."""
-        own = F.col(f"{name}_steps")
-        return F.aggregate(
-            F.sequence(F.lit(0), F.floor((F.size(own) - 1) / RUN).cast("int")),
-            F.array(zero),
-            lambda sums, k: F.array_append(sums, F.element_at(sums, -1) + F.aggregate(F.slice(own, k * RUN + 1, RUN), zero, add)),
-        )
-
-    rows = rows.select("*", *(F.when(F.size(f"{name}_steps") > 0, bases(name)).alias(f"{name}_bases") for name in patterns))
+    rows = rows.select("*", *(_runs(F.col(f"{name}_steps"), add).alias(f"{name}_runs") for name in patterns))
 
     def spans(name: str) -> Column:
-        own, base = F.col(f"{name}_steps"), F.col(f"{name}_bases")
-
         def span(value: Column, i: Column) -> Column:
-            run = F.floor(i / RUN).cast("int")
-            start = F.get(base, run) + F.aggregate(F.slice(own, run * RUN + 1, i - run * RUN + 1), zero, add)
+            start = _upto(F.col(f"{name}_steps"), F.col(f"{name}_runs"), i + 1, add)
             return F.struct(start.alias("start"), (start + F.length(value)).alias("stop"), value.alias("value"), F.get(f"{name}_between", i).alias("before"))
 
         return F.transform(f"{name}_found", span).alias(name)
@@ -126,8 +134,32 @@ def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFra
     return rows.select(*carried, *(spans(name) for name in patterns))
 
 
+def _marked(rows: DataFrame) -> DataFrame:
+    """The rows with `signs` of `whole` where there are spans, and `text`: `whole` with the signs of `base` as marks.
+
+    All other signs stay in their places. Spans that overlap have one first mark.
+    """
+    later = lambda a, b: F.greatest(a, b)
+    rows = rows.withColumn("whole", F.regexp_replace("whole", f"[{FIRSTS}{REST}]", STRAY))
+    signs = F.when(F.size("base") > 0, F.regexp_extract_all("whole", F.lit("(?s)."), F.lit(0)))
+    rows = rows.select("*", signs.alias("signs"), F.transform("base", lambda s: s["stop"]).alias("stops")).withColumn("stop_runs", _runs(F.col("stops"), later))
+
+    def between(a: Column, b: Column) -> Column:
+        return F.array_join(F.slice("signs", (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int")), "")
+
+    def mark(s: Column, i: Column) -> Column:
+        done = _upto(F.col("stops"), F.col("stop_runs"), i, later)
+        first = F.when(s["start"] >= done, F.substring(F.lit(FIRSTS), s["rank"] + 1, F.lit(1))).otherwise("")
+        more = s["stop"] - F.greatest(s["start"], done) - F.length(first)
+        return F.concat(between(done, s["start"]), first, F.repeat(F.lit(REST), F.greatest(more, F.lit(0)).cast("int")))
+
+    parts = F.array_join(F.transform("base", mark), "")
+    text = F.when(F.size("base") > 0, F.concat(parts, between(F.array_max("stops"), F.size("signs")))).otherwise(F.col("whole"))
+    return rows.withColumn("text", text).drop("stops", "stop_runs")
+
+
 def base_spans(docs: DataFrame, carried: Column | None = None) -> DataFrame:
-    """(row, doc_id, base, mentions): checked base spans in order, and the mentions with a context.
+    """(row, doc_id, base, mentions): checked base spans in order; the mentions and, as seeds, the base spans with a context.
 
     `carried` goes along in a column of that name.
     """
@@ -138,8 +170,8 @@ def base_spans(docs: DataFrame, carried: Column | None = None) -> DataFrame:
         (F.lit(None).cast("boolean") if carried is None else carried).alias("carried"),
     )
     text = F.col("text")
+    rows = rows.withColumn("whole", text)
     patterns = {kind: (pattern, NEEDED[kind](text)) for kind, pattern in PATTERNS.items()}
-    patterns["mention"] = (MENTION, text.rlike("[0-9@]"))
     rows = located(rows, patterns)
 
     def checked(kind: str, rank: int) -> Column:
@@ -148,20 +180,23 @@ def base_spans(docs: DataFrame, carried: Column | None = None) -> DataFrame:
             lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), s["stop"].alias("stop")),
         )
 
+    base = F.sort_array(F.flatten(F.array(*(checked(k, i) for i, k in enumerate(PATTERNS)))))
+    rows = located(_marked(rows.select("row", "doc_id", "carried", "whole", base.alias("base"))), {"mention": (MENTION, F.col("whole").rlike("[0-9@]"))})
+
     def mention(m: Column) -> Column:
-        value = F.lower(F.rtrim(m["value"], F.lit(".,;:!?)]}'\"")))
+        seed = m["value"].rlike(f"^[{FIRSTS}]")
+        value = F.when(seed, F.array_join(F.slice("signs", (m["start"] + 1).cast("int"), F.length(m["value"])), ""))
+        value = F.coalesce(value, F.rtrim(m["value"], F.lit(".,;:!?)]}'\"")))
         context = F.regexp_extract(F.right(m["before"], F.lit(CONTEXT_CHARACTERS)), CONTEXT, 1)
-        seed = F.exists(F.array(*(m["value"].rlike(PATTERNS[k]) & _passes(k, F.regexp_extract(m["value"], PATTERNS[k], 0)) for k in ("email", "ip", "card"))), lambda x: x)
         return F.struct(
             m["start"].alias("start"),
-            (m["start"] + F.length(F.rtrim(m["value"], F.lit(".,;:!?)]}'\"")))).alias("stop"),
-            value.alias("instance"),
+            (m["start"] + F.length(value)).alias("stop"),
+            F.lower(value).alias("instance"),
             F.lower(F.regexp_replace(context, r"\s+", " ")).alias("pattern"),
-            (seed | m["value"].startswith("+")).alias("seed"),
+            seed.alias("seed"),
         )
 
-    base = F.sort_array(F.flatten(F.array(*(checked(k, i) for i, k in enumerate(PATTERNS)))))
-    return rows.select("row", "doc_id", "carried", base.alias("base"), F.transform("mention", mention).alias("mentions"))
+    return rows.select("row", "doc_id", "carried", "base", F.transform("mention", mention).alias("mentions"))
 
 
 def instance_scores(spark: SparkSession, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -189,11 +224,10 @@ def instance_scores(spark: SparkSession, found: DataFrame, rounds: int = ROUNDS)
 
 
 def discovered(spark: SparkSession, found: DataFrame) -> DataFrame:
-    """(row, added): spans of discovered instances that touch no base span."""
+    """(row, added): spans of discovered instances; mentions are cut so that they touch no base span."""
     scores = kept(spark, instance_scores(spark, found).select("instance"))
-    mentions = found.select("row", "base", F.explode("mentions").alias("m")).filter(~F.col("m.seed"))
-    clear = ~F.exists("base", lambda b: (b["start"] < F.col("m.stop")) & (F.col("m.start") < b["stop"]))
-    hits = mentions.select("row", F.col("m.instance").alias("instance"), "m.start", "m.stop", clear.alias("clear")).filter("clear")
+    mentions = found.select("row", F.explode("mentions").alias("m")).filter(~F.col("m.seed"))
+    hits = mentions.select("row", F.col("m.instance").alias("instance"), "m.start", "m.stop")
     span = F.struct("start", F.lit(len(PATTERNS)).alias("rank"), F.lit("context").alias("kind"), "stop")
     return hits.join(scores, "instance").groupBy("row").agg(F.collect_list(span).alias("added"))
 

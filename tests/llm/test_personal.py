@@ -74,5 +74,16 @@ def test_contexts_find_unseen_identifiers(spark, tmp_path):
     assert spans[102] == spans[103] == "" and spans[3].startswith("email:") and "context" not in spans[3]
 
 
+def test_spans_with_blanks_are_seeds(spark, tmp_path):
+    rows = [(i, f"Some words, please call desk: +1 (511) 555-68{i} today") for i in range(10, 20)]
+    rows += [(i, f"then she paid card: 4111 1111 1111 {n} today") for i, n in zip(range(20, 25), ("1111", "1129", "1137", "1145", "1152"), strict=True)]
+    rows += [(i, f"a sum of +{i}.5 points") for i in range(30, 40)]
+    rows += [(100, "please call desk: ext-77612 today"), (101, "later ext-77612,a@b.cd came"), (102, "then she paid card: acc-90210"), (103, "a sum of 123456 points")]
+    folder = written(tmp_path, documents=documents(spark, rows))
+    spans = {r.doc_id: r.spans for r in personal.op8_personal_data(spark, folder).collect()}
+    assert spans[100] == "context:18:27" and spans[101] == "context:6:15,email:16:22" and spans[102] == "context:20:29"
+    assert spans[103] == spans[30] == "" and spans[10] == "phone:30:47" and spans[20] == "card:20:39"
+
+
 def test_no_documents(spark, tmp_path):
     assert personal.op8_personal_data(spark, written(tmp_path, documents=documents(spark, []))).count() == 0
