@@ -3,7 +3,8 @@
 Base kinds are found by patterns and checked (address parts, Luhn sums, numbers of digits). They seed a
 search for identifiers that no pattern knows: each checked span is a seed as a whole, also with blanks in it,
 and spans that overlap are one. In the text around them a mention is a word, or the rest of one, with a digit or
-an @. The two words before it are its lexical pattern. Patterns and instances form a graph, in which scores go back and forth:
+an @. The two words before the word in which it starts are its lexical pattern, whatever stands in them: a checked span
+in them counts by its kind, a number as 0. Patterns and instances form a graph, in which scores go back and forth:
 a pattern is as good as the mean of its instances, damped where it has few, and an instance is as
 good as its patterns make it together (noisy or); seeds keep a score of one. Instances that have a
 high score in the end are reported wherever they stand, as kind `context`.
@@ -45,8 +46,7 @@ PARTS = rf"^(?:{BYTE}\.){{3}}{BYTE}$"
 #: Noncharacters that stand for checked spans while mentions are cut: the first sign of a span by kind, and all its others.
 FIRSTS, REST, STRAY = "\uFDD0\uFDD1\uFDD2\uFDD3", "\uFDD4", "\uFDEF"
 MENTION = rf"[{FIRSTS}]{REST}*+|(?<![^\s{FIRSTS}{REST}])[^\s0-9@{FIRSTS}{REST}]*+[0-9@][^\s{FIRSTS}{REST}]*+"
-CONTEXT_CHARACTERS = 80  # before a mention, in which its two words of context stand
-CONTEXT = r"(?:^|\s)(\S+\s+\S+)\s+$"
+BLANKS = r"\s+"
 
 ROUNDS = 2
 LEAST_SEEDS = 3  # distinct seeds that a pattern needs
@@ -98,11 +98,12 @@ def _upto(values: Column, runs: Column, n: Column, merge: Callable[[Column, Colu
     return merge(F.get(runs, run), F.aggregate(F.slice(values, run * RUN + 1, n - run * RUN), F.lit(0).cast("long"), merge))
 
 
-def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFrame:
-    """For each name a column of that name: all matches in `text`, as (start, stop, value, before).
+def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]], counted: str | None = None) -> DataFrame:
+    """For each name a column of that name: all matches in `text`, as (start, stop, value, place).
 
-    `patterns`: name to (pattern, whether to look at all). `before` is the text since the last match.
-    Sums of lengths are taken in runs, so the work stays far below the square of the matches.
+    `patterns`: name to (pattern, whether to look at all). `place` says how many matches of `counted`, which no
+    match of a pattern touches, are before. Sums are taken in runs, so the work stays far below the square of the
+    matches; one long number has the length in its lower half and `place` in its upper one.
     """
     others = rows.columns
     nothing = F.array().cast("array<string>")
@@ -113,11 +114,15 @@ def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFra
     carried = [c for c in others if c != "text"]
     add = lambda a, b: a + b
 
+    def weight(between: Column) -> Column:
+        length = F.length(between).cast("long")
+        return length if counted is None else length + F.shiftleft(F.regexp_count(between, F.lit(counted)).cast("long"), 32)
+
     def steps(name: str) -> Column:
         found = F.col(f"{name}_found")
         return F.transform(
             found,
-            lambda m, i: (F.length(F.get(f"{name}_between", i)) + F.when(i > 0, F.length(F.get(found, i - 1))).otherwise(0)).cast("long"),
+            lambda m, i: weight(F.get(f"{name}_between", i)) + F.when(i > 0, F.length(F.get(found, i - 1))).otherwise(0),
         )
 
     keep = [c for name in patterns for c in (f"{name}_found", f"{name}_between")]
@@ -126,12 +131,18 @@ def located(rows: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFra
 
     def spans(name: str) -> Column:
         def span(value: Column, i: Column) -> Column:
-            start = _upto(F.col(f"{name}_steps"), F.col(f"{name}_runs"), i + 1, add)
-            return F.struct(start.alias("start"), (start + F.length(value)).alias("stop"), value.alias("value"), F.get(f"{name}_between", i).alias("before"))
+            return F.struct(_upto(F.col(f"{name}_steps"), F.col(f"{name}_runs"), i + 1, add).alias("sum"), value.alias("value"))
 
         return F.transform(f"{name}_found", span).alias(name)
 
-    return rows.select(*carried, *(spans(name) for name in patterns))
+    def halves(name: str) -> Column:
+        def span(s: Column) -> Column:
+            start = s["sum"].bitwiseAND(F.lit((1 << 32) - 1))
+            return F.struct(start.alias("start"), (start + F.length(s["value"])).alias("stop"), s["value"].alias("value"), F.shiftright(s["sum"], 32).cast("int").alias("place"))
+
+        return F.transform(name, span).alias(name)
+
+    return rows.select(*carried, *map(spans, patterns)).select(*carried, *map(halves, patterns))
 
 
 def _marked(rows: DataFrame) -> DataFrame:
@@ -181,18 +192,22 @@ def base_spans(docs: DataFrame, carried: Column | None = None) -> DataFrame:
         )
 
     base = F.sort_array(F.flatten(F.array(*(checked(k, i) for i, k in enumerate(PATTERNS)))))
-    rows = located(_marked(rows.select("row", "doc_id", "carried", "whole", base.alias("base"))), {"mention": (MENTION, F.col("whole").rlike("[0-9@]"))})
+    look = F.col("whole").rlike("[0-9@]")
+    rows = _marked(rows.select("row", "doc_id", "carried", "whole", base.alias("base")))
+    rows = located(rows.withColumn("words", F.when(look, F.split("text", BLANKS, -1))), {"mention": (MENTION, look)}, BLANKS)
 
     def mention(m: Column) -> Column:
         seed = m["value"].rlike(f"^[{FIRSTS}]")
         value = F.when(seed, F.array_join(F.slice("signs", (m["start"] + 1).cast("int"), F.length(m["value"])), ""))
         value = F.coalesce(value, F.rtrim(m["value"], F.lit(".,;:!?)]}'\"")))
-        context = F.regexp_extract(F.right(m["before"], F.lit(CONTEXT_CHARACTERS)), CONTEXT, 1)
+        first, second = F.get("words", m["place"] - 2), F.get("words", m["place"] - 1)
+        context = F.when((F.length(first) > 0) & (F.length(second) > 0), F.concat(first, F.lit(" "), second)).otherwise("")
+        context = F.regexp_replace(F.regexp_replace(context, f"{REST}+", ""), "[0-9]+", "0")
         return F.struct(
             m["start"].alias("start"),
             (m["start"] + F.length(value)).alias("stop"),
             F.lower(value).alias("instance"),
-            F.lower(F.regexp_replace(context, r"\s+", " ")).alias("pattern"),
+            F.lower(context).alias("pattern"),
             seed.alias("seed"),
         )
 

@@ -85,5 +85,23 @@ def test_spans_with_blanks_are_seeds(spark, tmp_path):
     assert spans[103] == spans[30] == "" and spans[10] == "phone:30:47" and spans[20] == "card:20:39"
 
 
+def test_contexts_with_digits_and_long_words(spark, tmp_path):
+    long = "w" * 200
+    rows = [(i, f"member id A-{i} pin mail{i}@a.bc") for i in range(12)] + [(i, f"{long} {long} 10.0.0.{i} end") for i in range(20, 32)]
+    rows += [(i, f"from a{i}@b.cd, to +1 511 555 68{i}") for i in range(40, 52)]
+    rows += [(100, "  member id A-17 pin 99887"), (101, f"{long}x {long} 55443"), (102, f"{long} {long}\n55667"), (103, "from new@b.cd, to ext-4321")]
+    folder = written(tmp_path, documents=documents(spark, rows))
+    spans = {r.doc_id: r.spans for r in personal.op8_personal_data(spark, folder).collect()}
+    assert spans[100] == "context:21:26" and spans[101] == "" and spans[102] == "context:402:407"
+    assert spans[103] == "email:5:13,context:18:26"
+
+
+def test_places_are_kept_in_long_texts(spark):
+    text = " " + "".join(f"w{i}  é🙂 a{i}@b.cd;x{i} " for i in range(700))
+    found = personal.base_spans(documents(spark, [(1, text)])).first()
+    assert all(text[m.start : m.stop].lower() == m.instance for m in found.mentions) and len(found.mentions) == 2100
+    assert [m.pattern for m in found.mentions[:4]] == ["", "w0 é🙂", "w0 é🙂", "é🙂 \uFDD0;x0"] and found.mentions[-1].pattern == "w0 é🙂"
+
+
 def test_no_documents(spark, tmp_path):
     assert personal.op8_personal_data(spark, written(tmp_path, documents=documents(spark, []))).count() == 0
