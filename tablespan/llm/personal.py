@@ -6,8 +6,10 @@ and spans that overlap are one. In the text around them a mention is a word, or
 an @. The two words before the word in which it starts are its lexical pattern, whatever stands in them: a checked span
 in them counts by its kind, a number as 0. Patterns and instances form a graph, in which scores go back and forth:
 a pattern is as good as the mean of its instances, damped where it has few, and an instance is as
-good as its patterns make it together (noisy or); seeds keep a score of one. Instances that have a
-high score in the end are reported wherever they stand, as kind `context`.
+good as its patterns make it together (noisy or); seeds keep a score of one. A pattern takes part when it has
+enough seeds or discovered instances, those with a high score. What is discovered in one hop makes patterns of the next,
+until a hop adds nothing or MOST_HOPS are done. Instances discovered in the end are reported wherever they stand, as kind
+`context`.
 
 Java's matcher does the finding. All patterns are written so that it runs in linear time and without
 recursion: runs are possessive, and a run is entered at its start only. Start positions are sums of the
@@ -48,8 +50,9 @@ FIRSTS, REST, STRAY = "\uFDD0\uFDD1\uFDD2\uFDD3", "\uFDD4", "\uFDEF"
 MENTION = rf"[{FIRSTS}]{REST}*+|(?<![^\s{FIRSTS}{REST}])[^\s0-9@{FIRSTS}{REST}]*+[0-9@][^\s{FIRSTS}{REST}]*+"
 BLANKS = r"\s+"
 
-ROUNDS = 2
-LEAST_SEEDS = 3  # distinct seeds that a pattern needs
+ROUNDS = 2  # of scores in a hop
+MOST_HOPS = 10
+LEAST_SEEDS = 3  # distinct seeds or discovered instances that a pattern needs
 LEAST_SCORE = 0.6  # of an instance that is reported
 LEAST_DIGITS = 4  # in an instance that is reported, unless it has an @
 RUN = 128
@@ -214,28 +217,41 @@ def base_spans(docs: DataFrame, carried: Column | None = None) -> DataFrame:
     return rows.select("row", "doc_id", "carried", "base", F.transform("mention", mention).alias("mentions"))
 
 
-def instance_scores(spark: SparkSession, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(instance, score) of the unseen instances that patterns with enough seeds have.
+def instance_scores(spark: SparkSession, found: DataFrame, rounds: int = ROUNDS, hops: int = MOST_HOPS) -> DataFrame:
+    """(instance, score) of the unseen instances that are discovered.
 
     Edges are counted before anything is joined; a pattern or an instance that most rows share is one
-    key of narrow rows, summed in part before each shuffle and split by the adaptive skew join.
+    key of narrow rows, summed in part before each shuffle and split by the adaptive skew join. Patterns of too few
+    instances can never take part, so their edges are not kept. More patterns and higher scores at the start of a hop never
+    lower a score at its end, so what was admitted or discovered stays.
     """
     mentions = found.select(F.inline("mentions")).filter((F.col("pattern") != "") & (F.length("instance") > 0))
     edges = mentions.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    good = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("size")).filter(F.col("seeds") >= LEAST_SEEDS)
-    edges = kept(spark, edges.join(good.select("pattern", "size"), "pattern"))
-    scored = edges.withColumn("score", F.col("seed").cast("double"))
-    for _ in range(rounds):
-        patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("trust"))
-        joined = edges.join(patterns, "pattern")
-        instances = joined.groupBy("instance").agg(
-            F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("score")
-        )
-        instances = kept(spark, instances)
-        scored = edges.join(instances, "instance")
-    unseen = edges.groupBy("instance").agg(F.max("seed").alias("seed")).filter(~F.col("seed")).select("instance")
+    large = edges.groupBy("pattern").agg(F.count("*").alias("size")).filter(F.col("size") >= LEAST_SEEDS)
+    edges = kept(spark, edges.join(large.select("pattern"), "pattern"))
     plausible = F.contains("instance", F.lit("@")) | (F.length(_digits(F.col("instance"))) >= LEAST_DIGITS)
-    return instances.join(unseen, "instance", "left_semi").filter((F.col("score") >= LEAST_SCORE) & plausible)
+    seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed")).filter("seed").select("instance", F.lit(1.0).alias("score"))
+    known, before = seeds, None
+    for _ in range(hops):
+        scored = edges.join(known, "instance", "left").fillna(0.0, ["score"])
+        good = kept(spark, scored.groupBy("pattern").agg(F.count_if(F.col("score") > 0).alias("known")).filter(F.col("known") >= LEAST_SEEDS).select("pattern"))
+        own = edges.join(good, "pattern")
+        scored = scored.join(good, "pattern")
+        for _ in range(rounds):
+            patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("trust"))
+            instances = own.join(patterns, "pattern").groupBy("instance").agg(
+                F.max("seed").alias("seed"),
+                F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("score"),
+            )
+            instances = kept(spark, instances)
+            scored = own.join(instances.select("instance", "score"), "instance")
+        unseen = instances.filter(~F.col("seed") & (F.col("score") >= LEAST_SCORE) & plausible).select("instance", "score")
+        now = (good.count(), unseen.count())
+        if now == before or not now[1]:
+            break
+        before = now
+        known = seeds.union(unseen)
+    return unseen
 
 
 def discovered(spark: SparkSession, found: DataFrame) -> DataFrame:

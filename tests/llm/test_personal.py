@@ -103,5 +103,17 @@ def test_places_are_kept_in_long_texts(spark):
     assert [m.pattern for m in found.mentions[:4]] == ["", "w0 é🙂", "w0 é🙂", "é🙂 \uFDD0;x0"] and found.mentions[-1].pattern == "w0 é🙂"
 
 
+def test_discovered_instances_make_patterns(spark, tmp_path):
+    found = [f"id-7760{i}" for i in range(4)]
+    rows = [(i, f"you may contact me: user{i}@mail.com today") for i in range(12)] + [(20 + i, f"you may contact me: {x} today") for i, x in enumerate(found)]
+    chain = [*found, "id-55001"], ["id-55001", "id-55002", *found[:3]], ["id-55001", "id-55002", "id-55003", found[0]]
+    rows += [(30 + 10 * n + i, f"one hop{'abc'[n]} {x} more") for n, xs in enumerate(chain) for i, x in enumerate(xs)]
+    rows += [(90 + i, f"in year {1990 + i} again") for i in range(5)]
+    folder = written(tmp_path, documents=documents(spark, rows))
+    spans = {r.doc_id: r.spans for r in personal.op8_personal_data(spark, folder).collect()}
+    assert spans[20] == "context:20:28" and spans[34] == spans[41] == spans[52] == "context:9:17"
+    assert not any(spans[90 + i] for i in range(5))
+
+
 def test_no_documents(spark, tmp_path):
     assert personal.op8_personal_data(spark, written(tmp_path, documents=documents(spark, []))).count() == 0
