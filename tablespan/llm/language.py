@@ -7,6 +7,8 @@ forward pass runs over all distinct words of a block at once, and a process reme
 
 Words are runs of letters and of all signs beyond ASCII, in lower case, each after a marker of its start. A
 text that is NULL or has no letter is `und` with score 0, and so is every text where no language was learned.
+Learning takes every word of its documents; long ones, as runs of signs of scripts without blanks are, in consecutive
+parts of whole signs, of which only the first has the marker.
 Training uses a documented number of documents, chosen by a hash of their ids; NULL languages and NULL
 ids are left out of it. Equal rows are documents of their own. Ties go to the first language by name. Other columns are
 ignored. An empty table gives an empty result.
@@ -37,7 +39,7 @@ TRAIN_DOCS = 20_000  # documents that the model is learned from, chosen by hash
 MOST_LANGUAGES = 200
 ROUNDS = 3
 SMOOTHING = 0.2  # of a count, added to every piece
-TRAIN_WORD_BYTES = 24  # longer words are left out of learning
+TRAIN_WORD_BYTES = 24  # of a word's part that is learned from, with the marker, so that sums need no scaling
 EVIDENCE_WORDS = 20  # a longer text's evidence is scaled to so many words for the score
 SLICE_ROWS = 500  # of a batch that are worked on at once
 KNOWN_WORDS = 120_000  # a process remembers so many, then starts anew
@@ -180,8 +182,21 @@ def _lowered(column: pa.Array) -> list[bytes]:
     return [(text or "").lower().encode() for text in column.to_pylist()]
 
 
+def _parts(word: bytes) -> list[bytes]:
+    """The marked word, or its consecutive parts of less than TRAIN_WORD_BYTES and a marker; no sign is cut."""
+    parts, at = [], 0
+    while len(word) - at >= TRAIN_WORD_BYTES:
+        to = at + TRAIN_WORD_BYTES - 1
+        while word[to] & 0xC0 == 0x80:
+            to -= 1
+        parts.append(word[at:to])
+        at = to
+    parts.append(word[at:])
+    return [START + parts[0], *parts[1:]]
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n): how often each word occurs in each language."""
+    """(lang, word, n): how often each marked word, or part of a long one, occurs in each language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices = (given.slice(at, SLICE_ROWS) for given in batches for at in range(0, given.num_rows, SLICE_ROWS))
@@ -192,11 +207,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     starts, ends, _ = block.words(LETTERS)
                     distinct, first, place = distinct_values(block.hashes().of(starts, ends))
                     whole = block.buffer.tobytes()
+                    parts = [_parts(whole[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+                    n = np.bincount(place, minlength=len(distinct)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([lang] * len(distinct), pa.string()),
-                            pa.array([whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], pa.binary()),
-                            pa.array(np.bincount(place, minlength=len(distinct)).astype(np.int64)),
+                            pa.array([lang] * sum(map(len, parts)), pa.string()),
+                            pa.array([p for own in parts for p in own], pa.binary()),
+                            pa.array(np.repeat(n, np.array(list(map(len, parts)), dtype=np.int64))),
                         ],
                         names=["lang", "word", "n"],
                     )
@@ -221,7 +238,7 @@ def training_docs(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
 
 def learn(spark: SparkSession, docs: DataFrame, path: str, rounds: int = ROUNDS) -> Model:
     """A model from documents with `lang` and `text`. The driver gets pieces by languages, no texts."""
-    words = kept(spark, word_counts(docs).filter(F.length("word") < TRAIN_WORD_BYTES))
+    words = kept(spark, word_counts(docs))
     languages = sorted(r.lang for r in words.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
@@ -237,7 +254,7 @@ def learn(spark: SparkSession, docs: DataFrame, path: str, rounds: int = ROUNDS)
                 n = np.zeros((given.num_rows, len(names)))
                 column = np.array([names.index(x) for x in given.column("lang").to_pylist()], dtype=np.int64)
                 n[np.arange(given.num_rows), column] = given.column("n").to_numpy()
-                counts += expected_counts(own, p, [START + w for w in given.column("word").to_pylist()], n)
+                counts += expected_counts(own, p, given.column("word").to_pylist(), n)
             piece, lang = np.nonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(counts[piece, lang])], names=["piece", "lang", "n"])
 

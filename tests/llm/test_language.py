@@ -60,6 +60,18 @@ def test_odd_texts(spark, tmp_path):
     assert not by_id[None].held_out
 
 
+def test_long_runs_are_learned(spark, tmp_path):
+    texts = {"zh": "我们今天在学校里学习中文和数学，然后回家吃饭", "ja": "わたしたちはきょうがっこうでべんきょうしました", "ru": "достопримечательность человеконенавистничество"}
+    rows = [(i, text, lang, "s") for lang, text in texts.items() for i in range(40)]
+    docs = documents(spark, rows)
+    counted = {(r.lang, bytes(r.word)): r.n for r in L.word_counts(docs).collect()}
+    for lang, text in texts.items():
+        assert sum(n * len(w.lstrip()) for (own, w), n in counted.items() if own == lang) == 40 * len(text.replace(" ", "").encode())
+        assert all(len(w) <= L.TRAIN_WORD_BYTES and w.decode() for _, w in counted)
+    result = L.op2_language(spark, written(tmp_path, documents=documents(spark, [(1000 * n + i, t, lang, "s") for n, (lang, t) in enumerate(texts.items()) for i in range(40)]))).collect()
+    assert len(result) == 120 and all(r.lang_pred == list(texts)[r.doc_id // 1000] and r.score > 0.9 for r in result)
+
+
 def test_nothing_to_learn_from(spark, tmp_path):
     result = L.op2_language(spark, written(tmp_path / "a", documents=documents(spark, [(1, "the and", None, None)]))).collect()
     assert [(r.lang_pred, r.score) for r in result] == [("und", 0.0)]
