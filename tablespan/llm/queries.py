@@ -1,6 +1,20 @@
 """All queries of this package."""
 
-from tablespan.llm import decontamination, jaccard, language, packing, personal, quality, rules, secrets, substrings, warc  # noqa: F401
+from tablespan.llm import (  # noqa: F401
+    conversations,
+    decontamination,
+    extraction,
+    jaccard,
+    language,
+    packing,
+    personal,
+    quality,
+    rules,
+    secrets,
+    spelling,
+    substrings,
+    warc,
+)
 from tablespan.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
