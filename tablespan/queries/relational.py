@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablespan.operators.asof import join_as_of as as_of
+from tablespan.operators.intervals import join_overlaps
 from tablespan.queries.registry import query, read
 
 
@@ -100,21 +102,53 @@ def join_kinds(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def join_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Each order's last event of its customer before a moment: both in one row of time.
+    """Each order's last event of its customer up to a moment."""
+    moment = F.col("o_orderdate") + F.expr("INTERVAL 10000 DAYS")
+    orders = read(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), moment.alias("at"))
+    events = read(spark, folder, "events").select("user_id", "ts", F.col("ts").alias("last_event"))
+    return as_of(orders, events, ["user_id"], "at", "ts", ["last_event"]).select("o_orderkey", "last_event")
+
 
-    The window carries the newest event on while it streams through a customer's rows.
+@query(
     """
-    moment = F.col("o_orderdate") + F.expr("INTERVAL 10000 DAYS")
-    orders = read(spark, folder, "orders").select(
-        F.col("o_custkey").alias("k"), moment.alias("at"), F.lit(None).cast("timestamp_ntz").alias("event"), "o_orderkey"
+    WITH bought AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'purchase')
+    SELECT e.event_id, max(p.event_id) AS purchase, arg_max(p.value, {'t': p.ts, 'i': p.event_id}) AS paid
+    FROM events e JOIN bought p ON p.user_id = e.user_id AND p.ts < e.ts AND p.ts >= e.ts - INTERVAL 3 DAY
+     AND NOT EXISTS (SELECT 1 FROM bought q WHERE q.user_id = e.user_id AND q.ts < e.ts AND q.ts > p.ts)
+    WHERE e.event_type = 'error' GROUP BY e.event_id
+    """
+)
+def join_as_of_before(spark: SparkSession, folder: str) -> DataFrame:
+    """The last purchase strictly before each error, if it is at most three days old; the greater id decides a tie."""
+    events = read(spark, folder, "events")
+    bought = events.where("event_type = 'purchase'").select(
+        "user_id", F.col("ts").alias("bought"), F.col("event_id").alias("purchase"), F.col("value").alias("paid")
+    )
+    errors = events.where("event_type = 'error'").select("event_id", "user_id", "ts")
+    days = F.expr("INTERVAL 3 DAYS")
+    found = as_of(errors, bought, ["user_id"], "ts", "bought", ["purchase", "paid"], ["purchase"], before=True, within=days, how="inner")
+    return found.select("event_id", "purchase", "paid")
+
+
+@query(
+    """
+    SELECT o_orderkey, count(*) AS n_lines, CAST(sum(l_linenumber) AS BIGINT) AS numbers
+    FROM orders JOIN lineitem ON l_shipdate <= o_orderdate + INTERVAL 3 DAY
+     AND l_shipdate + to_days(CAST(l_quantity AS INTEGER)) >= o_orderdate
+    WHERE o_totalprice > 499500 AND l_returnflag = 'R' GROUP BY o_orderkey
+    """
+)
+def join_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Returned lines under way while a dear order is in its first three days: no equality, only overlap."""
+    dear = read(spark, folder, "orders").where("o_totalprice > 499500").select(
+        "o_orderkey", "o_orderdate", (F.col("o_orderdate") + F.expr("INTERVAL 3 DAYS")).alias("until")
     )
-    events = read(spark, folder, "events").select(
-        F.col("user_id").alias("k"), F.col("ts").alias("at"), F.col("ts").alias("event"), F.lit(None).cast("bigint").alias("o_orderkey")
+    arrival = F.col("l_shipdate") + F.make_dt_interval(F.col("l_quantity").cast("int"))
+    lines = read(spark, folder, "lineitem").where("l_returnflag = 'R'").select("l_linenumber", "l_shipdate", arrival.alias("arrival"))
+    pairs = join_overlaps(dear, lines, ("o_orderdate", "until"), ("l_shipdate", "arrival"))
+    return pairs.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_linenumber").cast("bigint")).alias("numbers")
     )
-    by_time = Window.partitionBy("k").orderBy("at", F.col("o_orderkey").asc_nulls_first())
-    carried = F.last("event", ignorenulls=True).over(by_time.rowsBetween(Window.unboundedPreceding, 0))
-    rows = orders.union(events).select("o_orderkey", carried.alias("last_event"))
-    return rows.where(F.col("o_orderkey").isNotNull())
 
 
 @query(
