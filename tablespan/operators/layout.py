@@ -47,7 +47,7 @@ def key_grouped(
     ``most_share`` is the largest share of rows that one key may hold: the share
     is measured, which reads the key columns once, and a larger one is refused.
     """
-    _check_share(frame, keys, most_share)
+    refuse_uneven(frame, keys, most_share)
     columns = _columns(keys)
     return frame.repartition(*([partitions] if partitions else []), *columns)
 
@@ -64,7 +64,7 @@ def store_key_grouped(
 
     A bucket is read by one task, so uneven keys are refused as by :func:`key_grouped`.
     """
-    _check_share(frame, keys, most_share)
+    refuse_uneven(frame, keys, most_share)
     writer = frame.repartition(buckets, *_columns(keys)).write.format("parquet")
     if path is not None:
         writer = writer.option("path", path)
@@ -72,7 +72,8 @@ def store_key_grouped(
     return frame.sparkSession.table(table)
 
 
-def _check_share(frame: DataFrame, keys: Sequence[Key], most_share: float | None) -> None:
+def refuse_uneven(frame: DataFrame, keys: Sequence[Key], most_share: float | None) -> None:
+    """Raise if a key holds more than ``most_share`` of the rows; ``None`` measures nothing."""
     if most_share is None:
         return
     share = largest_share(frame, keys)

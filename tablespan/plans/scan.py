@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablespan.operators.schema import conform, row_id_schema, show_row_id, union_all
 from tablespan.plans.predicates import Predicate, balanced, check_required_filters, conjuncts
 from tablespan.plans.tables import Table, VersionedTable
-from tablespan.sources.branches import Branch
+from tablespan.sources.branches import Branch, together
 
 
 # Fixed value: the column that says which branch a row came from.
@@ -19,25 +19,29 @@ BRANCH = "tablespan_branch"
 
 
 def branch_rows(
-    spark: SparkSession, table: Table, branches: Sequence[tuple[int, Branch]]
+    spark: SparkSession,
+    table: Table,
+    branches: Sequence[tuple[int, Branch]],
+    where: Sequence[Predicate] = (),
 ) -> list[DataFrame]:
     """The rows of numbered branches under the table's schema, with the number as last column.
 
     Branches over one source share a single read: a row is given out once for
     every branch whose filter it passes, so overlapping filters keep their copies.
+    Sources that plan their reads may leave out rows that fail ``where``.
     """
     shared: dict[object, list[tuple[int, Branch]]] = {}
     for number, branch in branches:
         key = number if branch.source is None else branch.source
         shared.setdefault(key, []).append((number, branch))
-    return [_read_together(spark, table, members) for members in shared.values()]
+    return [_read_together(spark, table, members, where) for members in shared.values()]
 
 
 def _read_together(
-    spark: SparkSession, table: Table, members: list[tuple[int, Branch]]
+    spark: SparkSession, table: Table, members: list[tuple[int, Branch]], where: Sequence[Predicate]
 ) -> DataFrame:
     number, first = members[0]
-    rows = first.read(spark, table.schema)
+    rows = first.plan(spark, where) if first.plan else first.read(spark, table.schema)
     if table.schema is not None:
         rows = conform(rows, table.schema, f"table '{table.name}', {first.label}")
     rows = show_row_id(rows)
@@ -93,7 +97,7 @@ def scan(
     if not kept and table.schema is None:
         kept = [(0, table.branches[0])]
     if kept:
-        rows = union_all(branch_rows(spark, table, kept)).drop(BRANCH)
+        rows = union_all(branch_rows(spark, table, together(kept), conditions)).drop(BRANCH)
     else:
         rows = spark.createDataFrame([], row_id_schema(table.schema))
     for condition in conditions:

@@ -23,7 +23,8 @@ from tablespan.sources.branches import (
     partitioned_files,
     scan_function,
 )
-from tablespan.sources.sequences import range_of, split_sequence
+from tablespan.sources.manifest import measured_files
+from tablespan.sources.sequences import range_of, sequence
 
 ORDERS = (
     T.StructType()
@@ -207,9 +208,7 @@ def _year_dates(values: dict[str, str | None]) -> dict:
 )
 def scan_planned_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files planned by year; the scan lists those a filter may need and filters the rows."""
-    path = new_folder(spark)
-    dated = read(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
-    dated.write.partitionBy("year").parquet(path)
+    path = _by_year(spark, folder)
     table = Table("orders", partitioned_files(spark, path, _year_dates), ORDERS, planning="filtered")
     rows = scan(spark, table, where=at("o_orderdate") < dt.datetime(1997, 1, 1))
     return rows.groupBy(F.year("o_orderdate").cast("bigint").alias("year")).agg(
@@ -219,6 +218,36 @@ def scan_planned_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _by_year(spark: SparkSession, folder: str) -> str:
+    """Orders in a folder for each year and month, as their owner might keep them."""
+    path = new_folder(spark)
+    dated = read(spark, folder, "orders").withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+    dated.repartition("year", "month").write.partitionBy("year", "month").parquet(path)
+    return path
+
+
+@query(
+    """
+    SELECT o_orderpriority, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high, min(month(o_orderdate)) AS first_month
+    FROM orders WHERE o_orderdate >= TIMESTAMP '1997-02-10' AND o_orderdate < TIMESTAMP '1997-04-01' GROUP BY o_orderpriority
+    """
+)
+def scan_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The same folders by a manifest with measured ranges: one read of the files of three months."""
+    path = _by_year(spark, folder)
+    schema = T.StructType([*ORDERS.fields, T.StructField("month", T.LongType())])
+    files = measured_files(spark, path, schema, [("o_orderdate",)])
+    when = at("o_orderdate")
+    where = [when >= dt.datetime(1997, 2, 10), when < dt.datetime(1997, 4, 1)]
+    rows = scan(spark, Table("orders", (files.branch(),), schema), where=where)
+    return rows.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("o_orderkey").alias("low"),
+        F.max("o_orderkey").alias("high"),
+        F.min("month").alias("first_month"),
+    )
+
+
 @query(
     """
     WITH size AS (SELECT max(l_orderkey) + 1 AS total FROM lineitem),
@@ -231,10 +260,10 @@ def scan_planned_files(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def split_sequence_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    """Order keys that no line item uses, counted over a sequence made by five tasks."""
+    """Order keys that no line item uses, counted by the five ranges that hold them; the session decides on tasks."""
     lines = read(spark, folder, "lineitem")
     total = lines.agg(F.coalesce(F.max("l_orderkey") + 1, F.lit(0))).first()[0]
-    table = Table("keys", (function_branch(split_sequence, total, 5),))
+    table = Table("keys", (function_branch(sequence, total),))
     keys = scan(spark, table)
     used = lines.select("l_orderkey").distinct().withColumn("used", F.lit(True))
     marked = keys.join(used, keys["n"] == used["l_orderkey"], "left")

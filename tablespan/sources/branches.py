@@ -14,7 +14,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablespan.plans.predicates import Bounds, ColumnPath
+from tablespan.plans.predicates import Bounds, ColumnPath, Predicate
 from tablespan.sources.delimited import TextOptions, read_delimited
 
 
@@ -25,7 +25,9 @@ class Branch:
     ``read`` gets the session and the table's declared schema (``None`` when the
     source brings its own).  ``filter`` is SQL text over the table's columns,
     applied to this branch alone.  ``bounds`` lets a scan skip the branch.
-    Branches with equal ``source`` read the same rows and are read together.
+    Branches with equal ``source`` read the same rows and are read together.  A source
+    that can leave rows out for a scan's predicates has a ``plan``, which gets the session and
+    them.  Parquet folders under one ``root`` are one read when a scan needs several.
     """
 
     label: str
@@ -33,6 +35,8 @@ class Branch:
     filter: str | None = None
     source: tuple | None = None
     bounds: Mapping[ColumnPath, Bounds] = field(default_factory=dict)
+    plan: Callable[[SparkSession, Sequence[Predicate]], DataFrame] | None = None
+    root: str | None = None
 
     def filtered(self, condition: str) -> Branch:
         return replace(self, filter=condition)
@@ -110,17 +114,33 @@ def partitioned_files(
     """A branch for each folder of partition values that holds Parquet files.
 
     ``bounds`` tells from a folder's values what its rows can hold, so a scan reads
-    only folders that its predicates may need.  The driver gets file names.
+    only folders that its predicates may need, and those in one read.  The driver gets file
+    names; for very many files, and ranges of columns inside them, see ``manifest``.
     """
     folders = sorted({file.rsplit("/", 1)[0] for file in spark.read.parquet(folder).inputFiles()})
     branches = []
     for place in folders:
         pairs = [part.split("=", 1) for part in place.split("/") if "=" in part]
         values = {unquote(k): None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(unquote(v)) for k, v in pairs}
-        branches.append(scan_function("read_parquet", unquote(place)).bounded(bounds(values)))
+        branches.append(replace(scan_function("read_parquet", unquote(place)), bounds=dict(bounds(values)), root=folder))
     return tuple(branches)
 
 
+def together(branches: Sequence[tuple[int, Branch]]) -> list[tuple[int, Branch]]:
+    """The numbered branches with all unfiltered folders under one root as a single one, under the first's number."""
+    by_root: dict[str, list[tuple[int, Branch]]] = {}
+    for number, branch in branches:
+        if branch.root is not None and branch.filter is None:
+            by_root.setdefault(branch.root, []).append((number, branch))
+    grouped = [members for members in by_root.values() if len(members) > 1]
+    merged = {number for members in grouped for number, _ in members}
+    rest = [(number, branch) for number, branch in branches if number not in merged]
+    for members in grouped:
+        places = [branch.source[1] for _, branch in members]
+        rest.append((members[0][0], scan_function("read_parquet", places)))
+    return rest
+
+
 def format_branch(
     format_name: str, locations: Sequence[str], options: Mapping[str, Any] | None = None
 ) -> Branch:
