@@ -9,8 +9,9 @@ boundary is where the estimated cost of both is least.
 Lists are not expanded into pairs. In rounds, one set of each list is paired with the others, first the most central
 one and then by a hash; what shares enough tokens is verified on whole sets, and links give components. Lists
 with one component are done. When lists with several would give no more pairs than they have entries, or a round
-no longer halves their pairs, they give the pairs across components that are in enough lists, which are verified in the same way. Two similar sets
-share a list, so they are linked, or in one component, or such a pair: no link between components is lost.
+no longer halves their pairs, they give the pairs across components that their places in the lists allow to link, which are
+verified in the same way. Two similar sets share a list, so they are linked, or in one component, or such a pair: no link between
+components is lost.
 
 Words are runs of non-blanks, A-Z lower-cased; a set has the distinct five-word shingles, or the whole
 sequence of fewer words. A text that is NULL or has no words has an empty set, is linked with
@@ -37,6 +38,8 @@ from tablespan.sources.shared import kept
 
 SHINGLE = 5
 SKETCH = 1 << 20  # counters of the token sketch
+SLICE_ROWS = 1000  # of a batch that are taken from Arrow together
+PART_BYTES = 1 << 18  # of their texts that are worked on together
 SIZES = 1 << 8  # set sizes counted one by one, to choose the boundary
 SCAN_COST = 4  # of a list entry that is scanned, in subsets that are enumerated
 STAR_ROUNDS = 8  # at most, before what is left is paired
@@ -76,12 +79,20 @@ def set_hash(tokens: np.ndarray) -> int:
     return int(mixed(mixed(sums[:1]) * np.uint64(3) + sums[1:] + np.uint64(n)).view(np.int64)[0])
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some rows at a time, so that what a task holds beside a batch is bounded."""
+    for given in batches:
+        for at in range(0, given.num_rows, SLICE_ROWS):
+            yield given.slice(at, SLICE_ROWS)
+        pa.default_memory_pool().release_unused()
+
+
 def sketch(docs: DataFrame) -> np.ndarray:
     """Counts of tokens by hash over all sets, followed by counts of sets by size."""
 
     def fill(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> None:
-        for given in batches:
-            for block in blocks(as_bytes(given.column("text"))):
+        for given in _slices(batches):
+            for block in blocks(as_bytes(given.column("text")), size=PART_BYTES):
                 sets = shingle_sets(block)
                 tokens = np.concatenate(sets)
                 table[:SKETCH] += np.bincount((tokens >> _SHIFT).astype(np.int64), minlength=SKETCH).astype(np.uint64)
@@ -131,8 +142,8 @@ def entered(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for given in batches:
-            for block in blocks(as_bytes(given.column("text"))):
+        for given in _slices(batches):
+            for block in blocks(as_bytes(given.column("text")), size=PART_BYTES):
                 sets = shingle_sets(block)
                 nodes = [set_hash(s) if len(s) else None for s in sets]
                 lists = []
@@ -157,11 +168,18 @@ def entered(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def shared_lists(sets: DataFrame) -> DataFrame:
-    """(token, node, size): entries of lists with two nodes or more; a list streams through its task."""
-    entries = sets.filter(F.size("lists") > 0).select(F.explode("lists").alias("token"), "node", "size")
+    """(token, node, size, at): entries of lists with two nodes or more; a list streams through its task.
+
+    `at` is a single token's place in its set; those of subsets are not used.
+    """
+    entered = sets.filter(F.size("lists") > 0).select(F.posexplode("lists").alias("at", "token"), "node", "size", F.size("lists").alias("n"))
+    prefix = F.col("size") - F.ceil(F.lit(3) * F.col("size") / F.lit(4)) + 1  # single tokens stand last, in their order
+    place = F.greatest(F.col("at") - (F.col("n") - prefix), F.lit(0))
+    entries = entered.select("token", "node", (F.shiftleft("size", 32) + place).alias("packed"))
     order = Window.partitionBy("token").orderBy("node")
     rows = entries.select("*", F.lag("node").over(order).alias("before"), F.lead("node").over(order).alias("after"))
-    return rows.filter((F.col("before") != F.col("node")) | (F.col("after") != F.col("node"))).select("token", "node", "size")
+    shared = rows.filter((F.col("before") != F.col("node")) | (F.col("after") != F.col("node")))
+    return shared.select("token", "node", F.shiftright("packed", 32).alias("size"), F.col("packed").bitwiseAND((1 << 32) - 1).alias("at"))
 
 
 def _alike(a: Column, b: Column) -> Column:
@@ -212,8 +230,8 @@ def verified(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataF
     found = texts.join(requests, same).select("node", F.col("home.a").alias("a"), F.col("home.salt").alias("salt"), "text")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for given in batches:
-            for block in blocks(as_bytes(given.column("text"))):
+        for given in _slices(batches):
+            for block in blocks(as_bytes(given.column("text")), size=PART_BYTES):
                 tokens = [s.tobytes() for s in shingle_sets(block)]
                 part = given.slice(block.first, len(tokens))
                 yield pa.RecordBatch.from_arrays([part.column("node"), part.column("a"), part.column("salt"), pa.array(tokens, pa.binary())], names=["node", "a", "salt", "tokens"])
@@ -248,17 +266,29 @@ def _stars(entries: DataFrame, weight: Column) -> DataFrame:
 
 
 def _across(entries: DataFrame) -> DataFrame:
-    """Pairs of sets of different labels in one list, each in enough such lists for the pair to link.
+    """(a, b, a_size, b_size) of sets of different labels that may link, as far as their lists and places show.
 
-    Two sets share at most as many lists as the one in fewer of them is in, so the rule for pairs
-    that share enough already holds back most pairs when their lists meet.
+    At the first token that two sets share, their overlap is at most what is left of either from there
+    on. Sets that link need ceil(3 (m + n) / 7) common tokens, so that token lies in the first seventh of the one
+    that is not larger: only those entries meet all others, and only where both have enough left. Texts that share
+    a frequent passage but little else have it late in their order, so they do not pair. Two sets share at most as many lists
+    as the one in fewer of them is in, so the rule for pairs that share enough holds back more.
     """
     entries = entries.join(entries.groupBy("node").agg(F.count("*").alias("lists")), "node")
-    a, b = (entries.select("token", *(F.col(c).alias(f"{side}{c}") for c in ("node", "size", "label", "lists"))) for side in "ab")
+    left = F.col("size") - F.col("at")
+    subset = F.col("token").bitwiseAND(F.lit(1)) == 1
+    early = entries.filter(subset | (7 * left >= 6 * F.col("size")))
+    a, b = (
+        side.select("token", *(F.col(c).alias(f"{name}{c}") for c in ("node", "size", "label", "lists", "at")))
+        for name, side in (("a", early), ("b", entries))
+    )
     odd = a.token.bitwiseAND(F.lit(1))
+    smaller = (a.asize < b.bsize) | ((a.asize == b.bsize) & (a.anode < b.bnode))
+    reach = (odd == 1) | (7 * F.least(a.asize - a.aat, b.bsize - b.bat) >= 3 * (a.asize + b.bsize))
     able = _enough(a.asize, b.bsize, F.least(a.alists, b.blists), odd) & _alike(a.asize, b.bsize)
-    pairs = a.join(b, (a.token == b.token) & (a.anode < b.bnode) & (a.alabel != b.blabel) & able).drop(b.token)
-    return pairs.select(F.col("anode").alias("a"), F.col("bnode").alias("b"), F.col("asize").alias("a_size"), F.col("bsize").alias("b_size"), "token")
+    pairs = a.join(b, (a.token == b.token) & smaller & (a.alabel != b.blabel) & able & reach).drop(b.token)
+    named = pairs.select(F.col("anode").alias("a"), F.col("bnode").alias("b"), F.col("asize").alias("a_size"), F.col("bsize").alias("b_size"))
+    return named.distinct()
 
 
 def node_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -282,7 +312,7 @@ def node_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Da
             break
         before = sums.pairs
         weight = F.xxhash64("node", F.lit(n))
-    more = verified(spark, docs, sets, _candidates(_across(entries)))
+    more = verified(spark, docs, sets, _across(entries))
     return components(spark, links.unionAll(more))
 
 
