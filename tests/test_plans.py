@@ -68,4 +68,20 @@ def test_python_appears_only_where_nothing_else_will_do(plans):
         "agg_user_many_groups",
         "agg_user_empty",
         "agg_user_ungrouped",
+        "table_function_analyzed",
+        "table_function_analyzed_narrow",
+        "table_function_lateral",
+        "table_function_lateral_wide",
+        "table_function_over_table",
+        "table_function_over_frame",
     }
+
+
+def test_statistics_neither_copy_nor_sort_rows(plans):
+    for name in ("column_statistics_exact", "column_statistics_nulls", "column_statistics_approx"):
+        assert "Expand" not in plans[name] and "Sort [" not in plans[name]
+
+
+@pytest.mark.parametrize("name", ["scan_planned_files", "scan_manifest"])
+def test_planned_files_are_one_read(plans, name):
+    assert plans[name].count("FileScan parquet") == 1 and "Union" not in plans[name]
