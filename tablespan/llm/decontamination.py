@@ -9,12 +9,14 @@ A search takes the windows of the test items. The index gives each term's freque
 corpus; a window's terms are intersected from the rarest on: every list is shifted by the term's offset
 in the window, and the places that all lists share are exact phrase matches. With `slop`, a term may
 stand so many words from its place: proximity matches. Items are searched in blocks of a
-bounded size, each of which is sent to all segments.
+bounded size, each of which is sent to all segments; where there are several, each one's matches are stored before the next
+block is made, so that the driver and the tasks hold the windows of one.
 
 Words are runs of letters and digits, A-Z lower-cased. A term is known by a 64-bit hash of its bytes. A
 NULL text has no words; an item with fewer words than a window is one window, one without words is none.
-Equal rows, equal or NULL ids are documents of their own; items with equal ids are one item. A NULL item
-id is left out of item lists. Other columns are ignored. Empty tables give no matches.
+Equal rows, equal or NULL ids are documents of their own; items with equal ids are one item. Items whose id is
+NULL are searched like all others and their words count as hit, but lists and numbers of items leave them out. Other
+columns are ignored. Empty tables give no matches.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from numpy.lib.stride_tricks import sliding_window_view
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,7 +103,7 @@ MATCHES = "segment long, document int, item_id string, start long, stop long"
 
 
 def item_terms(items: DataFrame) -> DataFrame:
-    """(item_id, terms): the terms of each item with an id and a word, in order."""
+    """(item_id, terms): the terms of each item with a word, in order."""
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for given in batches:
@@ -116,7 +119,7 @@ def item_terms(items: DataFrame) -> DataFrame:
                     names=["item_id", "terms"],
                 )
 
-    rows = items.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
+    rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
     return rows.mapInArrow(terms, "item_id string, terms array<long>").filter(F.size("terms") > 0)
 
 
@@ -130,17 +133,19 @@ def term_frequencies(index: DataFrame, wanted: DataFrame) -> DataFrame:
 class Windows:
     """The windows of some items, with the terms of each ordered from the rarest on."""
 
-    def __init__(self, items: list[tuple[str, np.ndarray]], frequency: dict[int, int], words: int):
-        names, spans, lengths = [], [], []
+    def __init__(self, items: list[tuple[str | None, np.ndarray]], frequency: dict[int, int], words: int):
+        numbers: dict[str | None, int] = {}
+        spans, sizes, owners = [np.zeros((0, words), np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for name, terms in items:
             size = min(words, len(terms))
-            for at in range(len(terms) - size + 1):
-                names.append(name)
-                spans.append(np.pad(terms[at : at + size], (0, words - size)))
-                lengths.append(size)
-        self.names = names
-        self.lengths = np.array(lengths, dtype=np.int64)
-        terms = np.array(spans, dtype=np.int64).reshape(len(names), words)
+            own = sliding_window_view(terms, size)
+            spans.append(np.pad(own, ((0, 0), (0, words - size))))
+            sizes.append(np.full(len(own), size))
+            owners.append(np.full(len(own), numbers.setdefault(name, len(numbers))))
+        self.names = list(numbers)
+        self.items = np.concatenate(owners)
+        self.lengths = np.concatenate(sizes)
+        terms = np.concatenate(spans)
         known = np.array(list(frequency), dtype=np.int64)
         counts = np.array(list(frequency.values()), dtype=np.int64)[np.argsort(known)]
         known.sort()
@@ -208,17 +213,16 @@ class Segment:
         return np.concatenate(kept_windows), np.concatenate(kept_places)
 
 
-def matches(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
+def matches(index: DataFrame, shared: Broadcast[Windows], slop: int = 0) -> DataFrame:
     """(segment, document, item_id, start, stop): maximal stretches of words that an item's windows cover.
 
     Start and stop count words of the document; adjoining and overlapping windows of an item make one
     stretch. With `slop` the stretch is the place that the anchor, the window's rarest term, gives it.
+    Items without an id share stretches only where they are searched together.
     """
-    shared = index.sparkSession.sparkContext.broadcast(windows)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        item_names, item_of = np.unique(np.array(own.names, dtype=object).astype(str), return_inverse=True)
         for given in batches:
             for i in range(given.num_rows):
                 numbers = {n: given.column(n)[i].values.to_numpy(zero_copy_only=False) for n in ("begins", "n_words", "terms", "ends")}
@@ -227,7 +231,7 @@ def matches(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
                 window, start = segment.find(own, slop)
                 if not len(window):
                     continue
-                item, stop = item_of[window], start + own.lengths[window]
+                item, stop = own.items[window], start + own.lengths[window]
                 order = np.lexsort((start, item))
                 item, start, stop = item[order], start[order], stop[order]
                 # Windows of an item in order of start: a stretch ends where the next one starts beyond it.
@@ -241,7 +245,7 @@ def matches(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
                     [
                         pa.array([given.column("segment")[i].as_py()] * len(item), pa.int64()),
                         pa.array(document, pa.int32()),
-                        pa.array(item_names[item]),
+                        pa.array(own.names, pa.string()).take(pa.array(item)),
                         pa.array(np.maximum(start - base, 0)),
                         pa.array(np.minimum(stop - base, numbers["n_words"][document])),
                     ],
@@ -260,11 +264,15 @@ def searched(spark: SparkSession, index: DataFrame, items: DataFrame, words: int
     frequencies = kept(spark, term_frequencies(index, wanted))
     found = []
     for k in range(n):
-        block = terms.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
+        block = terms.filter(F.pmod(F.when(F.col("item_id").isNull(), F.xxhash64("terms")).otherwise(F.xxhash64("item_id")), F.lit(n)) == k)
         own = frequencies.join(block.select(F.explode("terms").alias("term")).distinct(), "term", "left_semi")
         frequency = {row.term: row.n for row in own.toLocalIterator()}
         named = [(row.item_id, np.array(row.terms, dtype=np.int64)) for row in block.toLocalIterator()]
-        found.append(matches(index, Windows(named, frequency, words), slop))
+        shared = spark.sparkContext.broadcast(Windows(named, frequency, words))
+        if n == 1:
+            return matches(index, shared, slop)
+        found.append(kept(spark, matches(index, shared, slop)))
+        shared.destroy()
     while len(found) > 1:
         found = [a.unionAll(b[0]) if b else a for a, *b in (found[i : i + 2] for i in range(0, len(found), 2))]
     return found[0]
@@ -321,7 +329,7 @@ def clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     b AS (SELECT CAST(item_id AS VARCHAR) AS item,
                  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-          FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+          FROM benchmark WHERE text IS NOT NULL),
     starts AS (SELECT item, w, least(13, len(w)) AS size, unnest(range(len(w) - least(13, len(w)) + 1)) AS i
                FROM b WHERE len(w) > 0),
     windows AS (SELECT DISTINCT item, size, array_to_string(w[i + 1 : i + size], ' ') AS phrase FROM starts),
@@ -330,7 +338,7 @@ def clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     found AS (SELECT r, i, p.size, item FROM places p
               JOIN windows v ON v.size = p.size AND v.phrase = array_to_string(w[i + 1 : i + p.size], ' ')),
     hit AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + size)) AS k FROM found) GROUP BY r),
-    items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+    items AS (SELECT r, count(item) AS n, string_agg(item, ',' ORDER BY item) AS names
               FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
            sha256(coalesce(items.names, '')) AS items_sha256,

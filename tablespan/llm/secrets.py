@@ -15,8 +15,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -76,8 +78,16 @@ def _spans(block: Block) -> list[list[tuple[int, str, int, bytes]]]:
         found[i] += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(texts[i]) if len(m[0]) >= LEAST["access"]]
     for i, a, b in _runs(block, HEX, LEAST["hex"]):
         found[i].append((a, 2, b, texts[i][a:b]))
+    covered: dict[int, tuple[list[int], list[int]]] = {}
     for i, a, b in _runs(block, MIXED, LEAST["owned"]):
-        if _mixed(texts[i][a:b]) and not any(a < y and x < b for x, _, y, _ in found[i]):
+        if not _mixed(texts[i][a:b]):
+            continue
+        if i not in covered:  # starts in order, and the furthest end of the spans up to each
+            base = sorted((x, y) for x, _, y, _ in found[i])
+            covered[i] = [x for x, _ in base], list(accumulate((y for _, y in base), max))
+        starts, ends = covered[i]
+        before = bisect_left(starts, b)
+        if not before or ends[before - 1] <= a:
             found[i].append((a, 3, b, texts[i][a:b]))
     return [sorted(x) for x in found]
 

@@ -2,9 +2,11 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 
 from tablespan.llm import decontamination as D
+from tablespan.llm import queries as text_queries
 from tablespan.sources.shared import kept
 from tests.llm.frames import SMALL, documents, given, written
 
@@ -20,7 +22,7 @@ def expected(docs, items):
         w = words(text)
         size = min(13, len(w))
         for i in range(len(w) - size + 1 if w else 0):
-            windows.setdefault(tuple(w[i : i + size]), set()).add(str(name))
+            windows.setdefault(tuple(w[i : i + size]), set()).add(name)
     sizes = {len(x) for x in windows}
     rows = []
     for name, text in docs:
@@ -29,7 +31,7 @@ def expected(docs, items):
         for size in sizes:
             for i in range(len(w) - size + 1):
                 if own := windows.get(tuple(w[i : i + size])):
-                    found |= own
+                    found |= {str(x) for x in own if x is not None}
                     hit |= set(range(i, i + size))
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         rows.append((name, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
@@ -48,13 +50,18 @@ def test_given_tables(spark):
     assert any(r[2] for r in result)
 
 
+NAMELESS = " ".join(f"p{i}" for i in range(20))
+
+
 def odd(draw):
     few = ["a", "B", "c", "é", "9"]
     items = [(i, " ".join(draw.choices(few, k=n))) for i, n in enumerate([0, 1, 2, 5, 12, 13, 14, 20, 30])]
+    items += [(None, NAMELESS), (None, NAMELESS.replace("p3", "q3")), (None, None)]
     items += [(3, "again and again"), (50, None), (51, "?!"), (10, items[7][1])]
     docs = [(i, "-".join(draw.choices(few, k=draw.choice([1, 3, 40, 300])))) for i in range(12)]
     docs += [(20, None), (21, ""), (22, "... "), (23, "x " * 40_000 + items[8][1] + " y"), (24, items[7][1].upper()), (24, items[7][1]), (25, items[6][1])]
     docs += [(26, "AGAIN,and\nagain"), (27, items[8][1][:20])]
+    docs += [(28, NAMELESS), (29, f"{items[8][1]} {NAMELESS}")]
     return docs, items
 
 
@@ -69,8 +76,28 @@ def test_blocks_of_items_agree(spark):
     docs, items = odd(random.Random(4))
     frame = spark.createDataFrame(items, "item_id long, text string")
     index = kept(spark, D.positional_index(documents(spark, docs)))
-    rows = lambda n: sorted(map(tuple, D.searched(spark, index, frame, at_once=n).collect()))
-    assert rows(10) == rows(D.ITEM_WORDS) != []
+    found = lambda n: set(map(tuple, D.searched(spark, index, frame, at_once=n).collect()))
+    few, all_at_once = found(10), found(D.ITEM_WORDS)
+    named = lambda rows: {r for r in rows if r[2] is not None}
+    assert named(few) == named(all_at_once) != set()
+    # Items without an id may be in different blocks, so only the words they cover are the same.
+    words_of = lambda rows: {(r[0], r[1], k) for r in rows - named(rows) for k in range(r[3], r[4])}
+    assert words_of(few) == words_of(all_at_once) != set()
+
+
+def test_items_without_an_id_hit(spark, tmp_path):
+    docs = [(1, NAMELESS), (2, "x " * 300 + NAMELESS), (3, "p0 p1 p2")]
+    items = [(None, NAMELESS)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    folder = written(tmp_path, documents=documents(spark, docs), benchmark=bench)
+    result = actual(D.op1_decontamination(spark, folder))
+    assert result == expected(docs, items)
+    assert [(r[2], r[3], r[5]) for r in result] == [(20, 0, True), (20, 0, True), (0, 0, False)]
+    sql = text_queries.ORACLES["op1_decontamination"]
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    assert sorted(db.sql(sql).fetchall()) == [tuple(r) for r in result]
 
 
 def test_proximity(spark):

@@ -1,7 +1,9 @@
 import hashlib
 import re
+import time
 
 from tablespan.llm import secrets
+from tablespan.llm.words import blocks
 from tests.llm.frames import SMALL, documents, given, written
 from pyspark.sql import functions as F
 
@@ -59,5 +61,22 @@ def test_owners_decide(spark, tmp_path):
     assert sorted((r.repositories, r.owners) for r in secrets.ownership(found).collect()) == [(2, 1), (5, 5)]
 
 
+def test_spans_of_a_long_text_take_linear_time():
+    """Mixed tokens among base spans: those that touch no base span are taken, in time that grows with the text."""
+    parts = [f"{KEY}{i} token={KEY}{i}" if i % 3 else f"{HEX}{KEY} {KEY}x{i}" for i in range(40_000)]
+    text = " ".join(parts).encode()
+    block = next(iter(blocks([text], lower=False)))
+    began = time.process_time()
+    (spans,) = secrets._spans(block)
+    assert time.process_time() - began < 20
+    base = [(a, b) for a, kind, b, _ in spans if kind < 3]
+    few = next(iter(blocks([" ".join(parts[:60]).encode()], lower=False)))
+    (found,) = secrets._spans(few)
+    short = [(a, b) for a, kind, b, _ in found if kind < 3]
+    runs = [m.span() for m in re.finditer(rb"[A-Za-z0-9+/_=-]{20,}", few.buffer.tobytes()) if secrets._mixed(m[0])]
+    assert [(a, b) for a, kind, b, _ in found if kind == 3] == [(a, b) for a, b in runs if not any(a < y and x < b for x, y in short)]
+    assert len(base) > 40_000 and sum(kind == 3 for _, kind, _, _ in spans) > 30_000
+
+
 def test_no_documents(spark, tmp_path):
     assert secrets.op3_secrets(spark, written(tmp_path, documents=documents(spark, []))).count() == 0
