@@ -3,14 +3,14 @@
 The pieces are those of a public vocabulary; the single bytes among them spell every word. Each language
 has a probability for each piece, learned by expectation maximisation from counted words. A word's probability is the
 sum over all ways to cut it into pieces, by the forward algorithm; a text's is the product over its words. The
-forward pass runs over all distinct words of a block at once, and a process remembers words it has met.
+forward pass runs over all distinct words of a block at once, and a task remembers words it has met.
 
 Words are runs of letters and of all signs beyond ASCII, in lower case, each after a marker of its start. A
 text that is NULL or has no letter is `und` with score 0, and so is every text where no language was learned.
 Learning takes every word of its documents; long ones, as runs of signs of scripts without blanks are, in consecutive
 parts of whole signs, of which only the first has the marker.
-Training uses a documented number of documents, chosen by a hash of their ids; NULL languages and NULL
-ids are left out of it. Equal rows are documents of their own. Ties go to the first language by name. Other columns are
+Training uses a documented number of documents of each language, chosen by a hash of their ids, so every language that
+rows are marked with is learned; NULL languages and NULL ids are left out of it. Equal rows are documents of their own. Ties go to the first language by name. Other columns are
 ignored. An empty table gives an empty result.
 """
 
@@ -35,15 +35,18 @@ VOCABULARY = "piece_bpe_32k.model"
 MARK, START = "▁", b" "
 LETTERS = class_table(rb"[a-z\x80-\xFF]")
 
-TRAIN_DOCS = 20_000  # documents that the model is learned from, chosen by hash
+TRAIN_DOCS = 5_000  # of each language that the model is learned from, chosen by hash
 MOST_LANGUAGES = 200
 ROUNDS = 3
 SMOOTHING = 0.2  # of a count, added to every piece
 TRAIN_WORD_BYTES = 24  # of a word's part that is learned from, with the marker, so that sums need no scaling
 EVIDENCE_WORDS = 20  # a longer text's evidence is scaled to so many words for the score
 SLICE_ROWS = 500  # of a batch that are worked on at once
-KNOWN_WORDS = 120_000  # a process remembers so many, then starts anew
-CELLS = 1 << 16  # words times bytes at once
+SLICE_BYTES = 1 << 18  # of their texts that are worked on together
+KNOWN_WORDS = 120_000  # a task remembers so many, then starts anew
+CELLS = 1 << 16  # words times bytes at once, where all sums are held
+LANES = CELLS // 8  # words at once, where only the last sums are held
+AHEAD = 1 << 16  # ends of words whose pieces are looked up at once
 UNKNOWN = "und"
 LEAST_SCORE = 0.5  # of a document that is taken to be in a language
 HELD_OUT = 5
@@ -91,15 +94,15 @@ class Pieces:
         return np.where(self.hashes[at] == hashes, self.ids[at], self.n)
 
 
-def _groups(lengths: np.ndarray) -> Iterator[np.ndarray]:
-    """Numbers of words of like lengths, not too many at once."""
+def _groups(lengths: np.ndarray, lanes: int | None = None) -> Iterator[np.ndarray]:
+    """Numbers of words of like lengths, not too many at once: `lanes`, or as many as all their bytes allow."""
     order = np.argsort(lengths, kind="stable")
     at = 0
     while at < len(order):
         shortest = int(lengths[order[at]])
         longest = max(8, -(-shortest // 4) * 4 if shortest <= 64 else 2 * shortest)
         upto = int(np.searchsorted(lengths[order], longest, side="right"))
-        step = max(1, CELLS // longest)
+        step = lanes or max(1, CELLS // longest)
         for a in range(at, upto, step):
             yield order[a : min(a + step, upto)]
         at = upto
@@ -107,17 +110,20 @@ def _groups(lengths: np.ndarray) -> Iterator[np.ndarray]:
 
 def _spans(pieces: Pieces, hashes: SpanHashes, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, list[tuple[int, np.ndarray]]]]:
     """For each end j: (piece length, piece number of each word) of all pieces that may end there."""
-    for j in range(1, int(lengths.max()) + 1):
-        found = []
+    longest, ahead = int(lengths.max()), max(1, AHEAD // len(starts))
+    for first in range(1, longest + 1, ahead):
+        ends = np.arange(first, min(first + ahead, longest + 1))
+        inside = ends[:, None] <= lengths
+        stops = np.minimum(starts + ends[:, None], len(hashes.sums) - 1)
+        found: list[list[tuple[int, np.ndarray]]] = [[] for _ in ends]
         for size in pieces.lengths:
-            if size > j:
+            if size > ends[-1]:
                 break
-            stops = np.minimum(starts + j, len(hashes.sums) - 1)
-            ids = pieces.find(hashes.of(np.minimum(starts + j - size, stops), stops))
-            ids[j > lengths] = pieces.n
-            if (ids < pieces.n).any():
-                found.append((size, ids))
-        yield j, found
+            ids = pieces.find(hashes.of(np.minimum(np.maximum(starts, stops - size), stops), stops))
+            ids[~inside | (ends[:, None] < size)] = pieces.n
+            for i in np.flatnonzero((ids < pieces.n).any(axis=1)).tolist():
+                found[i].append((size, ids[i]))
+        yield from zip(ends.tolist(), found, strict=True)
 
 
 def log_probabilities(pieces: Pieces, chances: np.ndarray, words: list[bytes]) -> np.ndarray:
@@ -129,7 +135,7 @@ def log_probabilities(pieces: Pieces, chances: np.ndarray, words: list[bytes]) -
     hashes = SpanHashes(_BYTE_VALUES[buffer])
     k = chances.shape[1]
     out = np.zeros((len(words), k))
-    for group in _groups(lengths):
+    for group in _groups(lengths, LANES):
         n, reach = len(group), min(pieces.lengths[-1], int(lengths[group].max()))
         ring = np.zeros((reach + 1, n, k))  # sums for the last positions, all on the scale of `scale`
         ring[0] = 1.0
@@ -203,7 +209,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for part in slices:
             for lang in part.column("lang").unique().to_pylist():
                 rows = part.filter(pa.compute.equal(part.column("lang"), lang))
-                for block in blocks(_lowered(rows.column("text")), lower=False):
+                for block in blocks(_lowered(rows.column("text")), lower=False, size=SLICE_BYTES):
                     starts, ends, _ = block.words(LETTERS)
                     distinct, first, place = distinct_values(block.hashes().of(starts, ends))
                     whole = block.buffer.tobytes()
@@ -230,10 +236,12 @@ class Model:
 
 
 def training_docs(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
-    """About `most` of the documents with a language and an id that are not held out; all if there are fewer."""
+    """(lang, text): of each language about `most` of the documents with an id that are not held out; all if there are fewer."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    share = most / max(1, rows.select("doc_id", "lang").count())
-    return rows if share >= 1 else rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    rows = rows.select(F.col("lang").alias("lang"), "doc_id", "text")
+    shares = rows.groupBy("lang").agg((F.lit(most) / F.count("*")).alias("share")).withColumnRenamed("lang", "of")
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    return rows.join(shares, (rows.lang == shares.of) & chosen).select("lang", "text")
 
 
 def learn(spark: SparkSession, docs: DataFrame, path: str, rounds: int = ROUNDS) -> Model:
@@ -269,17 +277,20 @@ _known: dict = {}
 
 
 def _scores(model: Model, words: list[bytes], hashes: list[int]) -> np.ndarray:
-    """Log probabilities of distinct words, from the process's memory where it has them."""
+    """Log probabilities of distinct words, from the task's memory where it has them."""
     if _known.get("model") is not model or len(_known["places"]) > KNOWN_WORDS:
-        _known.update(model=model, places={}, rows=np.zeros((0, len(model.languages)), dtype=np.float32))
+        _known.update(model=model, places={}, rows=np.zeros((1 << 10, len(model.languages)), dtype=np.float32))
     places = _known["places"]
     at = list(map(places.get, hashes))
     missing = [i for i, x in enumerate(at) if x is None]
     if missing:
         fresh = log_probabilities(model.pieces, model.chances, [START + words[i] for i in missing])
-        for i, place in zip(missing, range(len(places), len(places) + len(missing)), strict=True):
+        had = len(places)
+        for i, place in zip(missing, range(had, had + len(missing)), strict=True):
             at[i] = places[hashes[i]] = place
-        _known["rows"] = np.vstack([_known["rows"], fresh.astype(np.float32)])
+        if len(places) > len(_known["rows"]):
+            _known["rows"] = np.resize(_known["rows"], (1 << len(places).bit_length(), len(model.languages)))
+        _known["rows"][had : len(places)] = fresh
     return _known["rows"][at]
 
 
@@ -292,15 +303,18 @@ def identified(docs: DataFrame, model: Model, carried: list[str], text: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(ended)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for given in batches:
-            for at in range(0, given.num_rows, SLICE_ROWS):
-                part = given.slice(at, SLICE_ROWS)
-                predicted, scores = _predictions(shared.value, part.column(text).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in carried), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
-                    names=[*carried, "lang_pred", "score"],
-                )
-            pa.default_memory_pool().release_unused()
+        try:
+            for given in batches:
+                for at in range(0, given.num_rows, SLICE_ROWS):
+                    part = given.slice(at, SLICE_ROWS)
+                    predicted, scores = _predictions(shared.value, part.column(text).to_pylist())
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(c) for c in carried), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
+                        names=[*carried, "lang_pred", "score"],
+                    )
+                pa.default_memory_pool().release_unused()
+        finally:
+            _known.clear()  # the process goes on to other tasks
 
     types = dict(docs.dtypes)
     kinds = ", ".join(f"`{c}` {types[c]}" for c in carried)
@@ -312,7 +326,7 @@ def _predictions(model: Model, texts: list[str | None]) -> tuple[list[str], list
     k = len(model.languages)
     predicted: list[str] = []
     scores: list[float] = []
-    for block in blocks([(text or "").lower().encode() for text in texts], lower=False):
+    for block in blocks([(text or "").lower().encode() for text in texts], lower=False, size=SLICE_BYTES):
         starts, ends, bounds = block.words(LETTERS)
         n = len(bounds) - 1
         sums = np.zeros((n, max(1, k)))

@@ -16,6 +16,7 @@ import pyarrow as pa
 
 SEPARATOR = b"\n"
 BLOCK_BYTES = 1 << 20
+KEPT_POWERS = 5 << 16  # of a block of 256 KB with a separator after each text
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(20260101).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -42,14 +43,13 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def powers(name: str, base: int, n: int) -> np.ndarray:
-    """1, base, base**2 ... modulo 2**64; kept for the process and grown by doubling."""
+    """1, base, base**2 ... modulo 2**64. A process keeps those of small blocks, others are made anew."""
     have = _powers.get(name)
     if have is None or len(have) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        have = np.full(size, base, dtype=np.uint64)
+        have = np.full(max(n, KEPT_POWERS), base, dtype=np.uint64)
         have[0] = 1
-        have = np.multiply.accumulate(have)
-        if size <= 8 * BLOCK_BYTES:  # those of one very long text are not kept
+        np.multiply.accumulate(have, out=have)
+        if n <= KEPT_POWERS:
             _powers[name] = have
     return have
 

@@ -1,4 +1,6 @@
 import itertools
+import re
+import time
 import zlib
 
 import numpy as np
@@ -41,6 +43,75 @@ def test_probability_sums_all_segmentations():
     assert np.allclose((counts * np.array([[len(p)] for p in pieces])).sum(axis=0), 4)  # every sign is used once
 
 
+def plain_forward(pieces, chances, word):
+    """The log probability by the plain recursion, scaled at each step."""
+    number = {p: i for i, p in enumerate(pieces)}
+    sums, logs = [np.ones(chances.shape[1])], np.zeros(chances.shape[1])
+    longest = max(map(len, pieces))
+    for j in range(1, len(word) + 1):
+        total = np.zeros(chances.shape[1])
+        for size in range(1, min(longest, j) + 1):
+            if word[j - size : j] in number:
+                total = total + sums[-size] * chances[number[word[j - size : j]]]
+        scale = total.max()
+        sums = [x / scale for x in [*sums, total][-longest:]]
+        logs += np.log(scale)
+    return np.log(sums[-1]) + logs
+
+
+def test_long_runs_score_as_the_plain_recursion(monkeypatch):
+    pieces = L.vocabulary(public_tokenizers.path(L.VOCABULARY))
+    draw = np.random.default_rng(3)
+    chances = draw.dirichlet(np.ones(len(pieces)), 3).T
+    ended = np.vstack([chances, np.zeros(3)])
+    own = L.Pieces(pieces)
+    signs = [chr(c) for c in draw.integers(0x4E00, 0x9FFF, 400)]
+    runs = ["".join(draw.choice(signs, n)).encode() for n in (1, 7, 30, 333, 340)] + [b" the", b"the" * 90, b"x"]
+    want = [plain_forward(pieces, chances, w) for w in runs]
+    assert np.allclose(L.log_probabilities(own, ended, runs), want, rtol=1e-9)
+    monkeypatch.setattr(L, "AHEAD", 7)
+    monkeypatch.setattr(L, "LANES", 2)
+    assert np.allclose(L.log_probabilities(own, ended, runs), want, rtol=1e-9)
+
+
+def test_runs_without_blanks_take_seconds_a_megabyte():
+    own = L.Pieces(L.vocabulary(public_tokenizers.path(L.VOCABULARY)))
+    draw = np.random.default_rng(4)
+    model = L.Model(["a", "b", "c"], own, np.vstack([draw.dirichlet(np.ones(own.n), 3).T, np.zeros(3)]))
+    texts = ["".join(map(chr, draw.integers(0x4E00, 0x9FFF, 1000))) for _ in range(350)]
+    began = time.process_time()
+    predicted, scores = L._predictions(model, texts)
+    spent = time.process_time() - began
+    L._known.clear()
+    assert len(predicted) == 350 and spent < 15
+
+
+def test_predictions_against_brute_force():
+    pieces = [b"a", b"b", b"c", b" ", b" a", b"ab", b"bc", b"cab"] + [bytes([x]) for x in "é日".encode()]
+    own, draw = L.Pieces(pieces), np.random.default_rng(5)
+    chances = draw.dirichlet(np.ones(len(pieces)), 2).T
+    model = L.Model(["p", "q"], own, np.vstack([chances, np.zeros(2)]))
+    texts = ["abc cab", "ABC", "", None, "12", "é日 a", "ab " * 200, "a\nb", "日日日日 abcabcabc"]
+    predicted, scores = L._predictions(model, texts)
+    L._known.clear()
+    for text, lang, score in zip(texts, predicted, scores, strict=True):
+        found = re.findall(rb"[a-z\x80-\xFF]+", (text or "").lower().encode())
+        if not found:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        sums = sum(plain_forward(pieces, chances, b" " + w) for w in found) / max(1.0, len(found) / L.EVIDENCE_WORDS)
+        chance = np.exp(sums - sums.max()) / np.exp(sums - sums.max()).sum()
+        assert lang == "pq"[chance.argmax()] and abs(score - chance.max()) < 1e-4
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "the of and", "en", "s") for i in range(3000)] + [(5000 + i, "der die und", "de", "s") for i in range(9)]
+    chosen = L.training_docs(documents(spark, rows), most=100)
+    counts = {r.lang: r["count"] for r in chosen.groupBy("lang").count().collect()}
+    usable = sum(zlib.crc32(str(5000 + i).encode()) % 5 != 0 for i in range(9))
+    assert counts["de"] == usable and 50 < counts["en"] < 150
+
+
 def test_every_word_has_a_segmentation():
     pieces = L.vocabulary(public_tokenizers.path(L.VOCABULARY))
     assert set(bytes([b]) for b in range(256)) <= set(pieces) and len(pieces) > 10_000 and b" the" in pieces
