@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 again as the next stage's documents. All but the last return the columns of the documents.
 
 A stage's intermediate tables are needed until its result is written. They are dropped when the next stage
-in the order begins, whose documents are that written result; they stay while its documents read them.
+in the order begins, whose documents are that written result; they stay while its documents read them. The session's
+batches for Python workers are bounded by bytes, since texts differ in length by several orders of magnitude.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from tablespan.sources.shared import drop_folders, kept, recorded
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BATCH_BYTES = 4 << 20
+
 #: Folders with intermediate tables of each stage; those of the last stage belong to its reader.
 _made: dict[str, list[str]] = {}
 
@@ -33,6 +37,7 @@ def _stage(after: str | None, last: bool = False) -> Callable[[Stage], Stage]:
     def wrap(work: Stage) -> Stage:
         @wraps(work)
         def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            spark.conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
             before = _made.get(after or "", [])
             if before and not _reads(docs, before):
                 drop_folders(spark, before)
