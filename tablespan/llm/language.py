@@ -43,6 +43,7 @@ TRAIN_WORD_BYTES = 24  # of a word's part that is learned from, with the marker,
 EVIDENCE_WORDS = 20  # a longer text's evidence is scaled to so many words for the score
 SLICE_ROWS = 500  # of a batch that are worked on at once
 SLICE_BYTES = 1 << 18  # of their texts that are worked on together
+BROADCAST_ROWS = 100_000  # languages whose shares are sent to all tasks; more are joined by a shuffle
 KNOWN_WORDS = 120_000  # a task remembers so many, then starts anew
 CELLS = 1 << 16  # words times bytes at once, where all sums are held
 LANES = CELLS // 8  # words at once, where only the last sums are held
@@ -119,10 +120,12 @@ def _spans(pieces: Pieces, hashes: SpanHashes, starts: np.ndarray, lengths: np.n
         for size in pieces.lengths:
             if size > ends[-1]:
                 break
-            ids = pieces.find(hashes.of(np.minimum(np.maximum(starts, stops - size), stops), stops))
-            ids[~inside | (ends[:, None] < size)] = pieces.n
+            short = max(0, size - first)  # ends before the piece's length
+            to = stops[short:]
+            ids = pieces.find(hashes.of(np.minimum(starts + ends[short:, None] - size, to), to))
+            ids[~inside[short:]] = pieces.n
             for i in np.flatnonzero((ids < pieces.n).any(axis=1)).tolist():
-                found[i].append((size, ids[i]))
+                found[short + i].append((size, ids[i]))
         yield from zip(ends.tolist(), found, strict=True)
 
 
@@ -240,6 +243,9 @@ def training_docs(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.select(F.col("lang").alias("lang"), "doc_id", "text")
     shares = rows.groupBy("lang").agg((F.lit(most) / F.count("*")).alias("share")).withColumnRenamed("lang", "of")
+    shares = kept(docs.sparkSession, shares)
+    if shares.count() <= BROADCAST_ROWS:  # the texts stay where they are
+        shares = F.broadcast(shares)
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
     return rows.join(shares, (rows.lang == shares.of) & chosen).select("lang", "text")
 
