@@ -1,6 +1,6 @@
 """Test passages in training texts, found with a positional inverted index.
 
-The index is a stored table of segments. A segment holds whole documents (about a megabyte of text) and,
+The index is a stored table of segments. A segment holds whole documents (about 256 KB of text) and,
 for each of its terms, the sorted positions of that term: positions run on from document to document
 with a gap between them, so a phrase never crosses two. Segments are made and searched where the
 documents are; nothing is shuffled, and a very frequent term is only a longer list in each segment.
@@ -37,6 +37,7 @@ from tablespan.sources.shared import kept
 WINDOW_WORDS = 13
 CONTAMINATED_SHARE = 20  # contaminated if n_hit is at least a 20th of n_words
 ITEM_WORDS = 200_000  # of the items searched at once: about 30 MB for all their windows
+SEGMENT_BYTES = 1 << 18  # of text; a longer one is a segment of its own
 CANDIDATES = 1 << 20  # places examined at once
 BROADCAST_ROWS = 200_000  # contaminated documents that are sent to all tasks; more are joined by a shuffle
 
@@ -57,7 +58,7 @@ def positional_index(docs: DataFrame, gap: int = WINDOW_WORDS) -> DataFrame:
         segment = TaskContext.get().partitionId() << 33
         for given in batches:
             ids, marks = given.column("doc_id"), given.column("text_hash")
-            for block in blocks(as_bytes(given.column("text"))):
+            for block in blocks(as_bytes(given.column("text")), size=SEGMENT_BYTES):
                 starts, ends, bounds = block.words(ALPHANUMERIC)
                 hashes = block.hashes().of(starts, ends).view(np.int64)
                 n = np.diff(bounds)
@@ -188,24 +189,26 @@ class Segment:
 
     def find(self, windows: Windows, slop: int) -> tuple[np.ndarray, np.ndarray]:
         """Windows and start positions of all matches."""
-        ranks = self.rank(windows.terms)
-        used = np.arange(ranks.shape[1]) < windows.lengths[:, None]
-        there = np.flatnonzero(((ranks >= 0) | ~used).all(axis=1))
-        counts = self.counts[ranks[there, 0]] if len(there) else np.zeros(0, np.int64)
+        there = np.flatnonzero(self.rank(windows.terms[:, 0]) >= 0)  # most lack the rarest term
+        ranks = self.rank(windows.terms[there])
+        whole = ((ranks >= 0) | (np.arange(ranks.shape[1]) >= windows.lengths[there, None])).all(axis=1)
+        there, ranks = there[whole], ranks[whole]
+        counts = self.counts[ranks[:, 0]] if len(there) else np.zeros(0, np.int64)
         kept_windows, kept_places = [], []
         at = 0
         while at < len(there):
             upto = at + max(1, int(np.searchsorted(np.cumsum(counts[at:]), CANDIDATES, side="right")))
-            some, n = there[at:upto], counts[at:upto]
+            n = counts[at:upto]
+            own = np.repeat(np.arange(at, at + len(n)), n)  # numbers among the windows that are there
+            window = there[own]
             at = upto
-            window = np.repeat(some, n)
             within = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)
-            start = self.places[self.begins[ranks[window, 0]] + within] - windows.offsets[window, 0]
+            start = self.places[self.begins[ranks[own, 0]] + within] - windows.offsets[window, 0]
             for k in range(1, ranks.shape[1]):
                 last = k >= windows.lengths[window]
                 place = start + windows.offsets[window, k]
-                good = last | self.has(ranks[window, k], place - slop, place + slop)
-                window, start = window[good], start[good]
+                good = last | self.has(ranks[own, k], place - slop, place + slop)
+                window, own, start = window[good], own[good], start[good]
             kept_windows.append(window)
             kept_places.append(start)
         if not kept_windows:
