@@ -36,7 +36,9 @@ class Overload:
     ``parameters`` are Spark types or ``ANY``.  With ``varargs`` the last one may
     be given any number of times, each time with its own type.  ``unsigned``
     marks a variant written for unsigned integers, which Spark reads as signed
-    ones.  ``special_nulls`` lets NULL arguments reach ``build``.
+    ones.  ``special_nulls`` lets NULL arguments reach ``build``.  A variant that may
+    give another value for equal arguments says ``deterministic=False``: Spark then makes
+    its value once for a row, where the call stands, and neither repeats nor moves it.
     """
 
     parameters: Sequence[T.DataType | str]
@@ -44,6 +46,7 @@ class Overload:
     varargs: bool = False
     unsigned: bool = False
     special_nulls: bool = False
+    deterministic: bool = True
 
     def __post_init__(self) -> None:
         if self.varargs and not self.parameters:
@@ -145,7 +148,9 @@ class Function:
         parameters = _parameters(chosen, len(types))
         typed = [_typed(c, t, p) for c, t, p in zip(columns, types, parameters)]
         value = chosen.build(*typed)
-        return value if chosen.special_nulls else null_strict(typed, value)
+        value = value if chosen.special_nulls else null_strict(typed, value)
+        # A row's number is never below 0; beside it the whole value counts as not deterministic.
+        return value if chosen.deterministic else F.when(F.monotonically_increasing_id() >= 0, value)
 
 
 def constant(value: Any) -> Column:

@@ -36,6 +36,19 @@ def named(label, *parameters, **options):
     return Overload(list(parameters), lambda *_: F.lit(label), **options)
 
 
+@pytest.mark.parametrize("stable", [True, False])
+def test_values_that_are_not_deterministic_stay_where_they_are(spark, stable):
+    f = Function("f", [Overload([LONG], lambda n: n * 2 + 1, deterministic=stable)])
+    frame = spark.range(20)
+    called = frame.select("id", f.on(frame, F.col("id")).alias("v"))
+    rows = called.where("v > 9")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.index("Filter") < plan.index("Project")) == (not stable)  # the outer step comes first
+    assert sorted(r.v for r in rows.collect()) == [2 * n + 1 for n in range(5, 20)]
+    empty = spark.createDataFrame([(None,)], "id long")
+    assert value(empty, f.on(empty, F.col("id"))) is None
+
+
 def test_number_formats_by_arity(one):
     assert value(one, FORMAT_NUMBER.on(one, F.expr("3.14"))) == "3"
     assert value(one, FORMAT_NUMBER.on(one, 2, 3.14159)) == "3.14"
