@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablespan.llm.registry import query, read
-from tablespan.llm.words import ALPHANUMERIC, as_bytes, blocks
+from tablespan.llm.words import ALPHANUMERIC, as_bytes, blocks, give_back
 from tablespan.sources.shared import kept
 
 WINDOW_WORDS = 13
@@ -82,6 +82,7 @@ def positional_index(docs: DataFrame, gap: int = WINDOW_WORDS) -> DataFrame:
                 }
                 yield pa.RecordBatch.from_pylist([row], schema=_INDEX)
                 segment += 1
+            give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     return rows.mapInArrow(build, INDEX)
@@ -153,8 +154,9 @@ class Windows:
         at = np.clip(np.searchsorted(known, terms), 0, max(0, len(known) - 1))
         often = np.where(known[at] == terms, counts[at], 0) if len(known) else np.zeros_like(terms)
         often[np.arange(words) >= self.lengths[:, None]] = np.iinfo(np.int64).max
-        self.offsets = np.argsort(often, axis=1, kind="stable")
-        self.terms = np.take_along_axis(terms, self.offsets, axis=1)
+        order = np.argsort(often, axis=1, kind="stable")
+        self.offsets = order.astype(np.int32)
+        self.terms = np.take_along_axis(terms, order, axis=1)
 
 
 class Segment:
@@ -254,6 +256,7 @@ def matches(index: DataFrame, shared: Broadcast[Windows], slop: int = 0) -> Data
                     ],
                     schema=_MATCHES,
                 )
+            give_back()
 
     return index.select("segment", "begins", "n_words", "terms", "ends", "positions").mapInArrow(search, MATCHES)
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tablespan.llm.components import components
 from tablespan.llm.registry import query, read
 from tablespan.llm.tables import added_up
-from tablespan.llm.words import NOT_BLANK, Block, as_bytes, blocks, mixed
+from tablespan.llm.words import NOT_BLANK, Block, as_bytes, blocks, give_back, mixed
 from tablespan.sources.shared import kept
 
 SHINGLE = 5
@@ -84,7 +84,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for given in batches:
         for at in range(0, given.num_rows, SLICE_ROWS):
             yield given.slice(at, SLICE_ROWS)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def sketch(docs: DataFrame) -> np.ndarray:

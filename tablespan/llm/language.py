@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tablespan.llm.pretokens import distinct_values
 from tablespan.llm.registry import query, read
-from tablespan.llm.words import SpanHashes, _BYTE_VALUES, blocks, class_table
+from tablespan.llm.words import SpanHashes, _BYTE_VALUES, blocks, class_table, give_back
 from tablespan.sources.shared import kept
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -318,9 +318,10 @@ def identified(docs: DataFrame, model: Model, carried: list[str], text: str = "t
                         [*(part.column(c) for c in carried), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
                         names=[*carried, "lang_pred", "score"],
                     )
-                pa.default_memory_pool().release_unused()
+                give_back()
         finally:
             _known.clear()  # the process goes on to other tasks
+            give_back()
 
     types = dict(docs.dtypes)
     kinds = ", ".join(f"`{c}` {types[c]}" for c in carried)

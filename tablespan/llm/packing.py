@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tablespan.llm.pretokens import encoder
 from tablespan.llm.registry import query, read
-from tablespan.llm.words import batch
+from tablespan.llm.words import batch, give_back
 from tablespan.sources.shared import kept
 
 SEQUENCE_TOKENS = 2048
@@ -62,7 +62,7 @@ def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY, terminator: int = T
                 )
                 total += int(bounds[-1])
                 at = end
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         encode, "part int, doc_id long, before long, doc_tokens long, ids binary"

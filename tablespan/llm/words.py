@@ -7,6 +7,7 @@ span's hash comes from prefix sums, so any number of spans costs one pass over t
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -23,6 +24,14 @@ _BYTE_VALUES = np.random.default_rng(20260101).integers(1, 1 << 63, 256, dtype=n
 _powers: dict[str, np.ndarray] = {}
 
 
+def give_back() -> None:
+    """Return this process's free memory to the system: it stays for other tasks, beside another that works."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def class_table(pattern: bytes) -> np.ndarray:
     """For each byte, whether the character class `pattern` has it."""
     return np.array([bool(re.fullmatch(pattern, bytes([b]))) for b in range(256)])
