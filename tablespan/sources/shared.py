@@ -48,8 +48,15 @@ def new_folder(spark: SparkSession) -> str:
     return path
 
 
-def kept(spark: SparkSession, frame: DataFrame) -> DataFrame:
-    """The frame written once to the shared folder and read back: its lineage ends there."""
+def kept(spark: SparkSession, frame: DataFrame, group_bytes: int | None = None) -> DataFrame:
+    """The frame written once to the shared folder and read back: its lineage ends there.
+
+    A task holds a row group while it writes and up to 4,096 rows of one while it reads. Where rows are
+    large, `group_bytes` bounds both: a group ends with the row that reaches it.
+    """
     path = new_folder(spark)
-    frame.write.parquet(path)
+    writer = frame.write
+    if group_bytes is not None:
+        writer = writer.option("parquet.block.size", group_bytes).option("parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 16)
+    writer.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

@@ -101,3 +101,20 @@ def test_nothing_is_needed(spark, tmp_path):
     manifest = measured_files(spark, f"{tmp_path}/t", schema, [("n",)])
     rows = scan(spark, Table("t", (manifest.branch(),), schema), where=at("n") > 5)
     assert rows.collect() == [] and rows.columns == ["n", "s"]
+
+
+def test_row_groups_of_kept_tables_are_bounded(spark):
+    from glob import glob
+
+    import pyarrow.parquet as pq
+
+    from tablespan.sources.shared import kept, recorded
+
+    rows = spark.range(0, 64, 1, 1).selectExpr("id", "transform(sequence(0, 19999), x -> xxhash64(x, id)) AS many")
+    with recorded() as folders:
+        bounded = kept(spark, rows, 1 << 20)
+    (file,) = glob(f"{folders[0].removeprefix('file:')}/*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    most = max(groups.row_group(i).num_rows for i in range(groups.num_row_groups))
+    assert most <= 16  # 160 KB a row; the next check is at most 16 rows away
+    assert bounded.agg({"id": "sum"}).first()[0] == 64 * 63 // 2
