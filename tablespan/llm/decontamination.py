@@ -38,6 +38,7 @@ WINDOW_WORDS = 13
 CONTAMINATED_SHARE = 20  # contaminated if n_hit is at least a 20th of n_words
 ITEM_WORDS = 200_000  # of the items searched at once: about 30 MB for all their windows
 SEGMENT_BYTES = 1 << 18  # of text; a longer one is a segment of its own
+SEGMENT_GROUP = 8 << 20  # bytes of segments that a task reads or writes at once
 CANDIDATES = 1 << 20  # places examined at once
 BROADCAST_ROWS = 200_000  # contaminated documents that are sent to all tasks; more are joined by a shuffle
 
@@ -300,7 +301,7 @@ def _covered(spans: Column) -> Column:
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, share: int = CONTAMINATED_SHARE) -> DataFrame:
     """One row per document: text_hash, n_words, n_hit, its items' ids in order, and whether it is contaminated."""
-    index = kept(spark, positional_index(docs))
+    index = kept(spark, positional_index(docs), SEGMENT_GROUP)
     found = searched(spark, index, items)
     hits = found.groupBy("segment", "document").agg(
         _covered(F.array_sort(F.collect_list(F.struct("start", "stop")))).alias("n_hit"),
