@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,11 +48,10 @@ def frames_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 def as_text(frame: DataFrame) -> DataFrame:
     """Every cell as text, with NULL and empty text spelled out, for comparing across types."""
-    cells = []
-    for field in frame.schema.fields:
-        column = F.col(quoted(field.name)).cast("string")
-        if isinstance(field.dataType, T.BinaryType):
-            column = F.hex(F.col(quoted(field.name)))
-        shown = F.when(column == F.lit(""), F.lit(EMPTY_TEXT)).otherwise(column)
-        cells.append(F.coalesce(shown, F.lit(NULL_TEXT)).alias(field.name))
-    return frame.select(*cells)
+    return frame.select(*[shown(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in frame.schema.fields])
+
+
+def shown(cell: Column, kind: T.DataType) -> Column:
+    """One cell as text."""
+    text = F.hex(cell) if isinstance(kind, T.BinaryType) else cell.cast("string")
+    return F.coalesce(F.when(text == F.lit(""), F.lit(EMPTY_TEXT)).otherwise(text), F.lit(NULL_TEXT))

@@ -95,7 +95,7 @@ def distinct_counts(frame: DataFrame, fields: Sequence[tuple[int, T.StructField]
     """
     kinds: dict[str, list[Column]] = {}
     for number, field in fields:
-        kind, value = _as_value(F.col(quoted(field.name)), field.dataType)
+        kind, value = as_value(F.col(quoted(field.name)), field.dataType)
         kinds.setdefault(kind, []).append(F.struct(F.lit(number).alias("number"), value.alias("value")))
     counts = []
     for cells in kinds.values():
@@ -105,7 +105,7 @@ def distinct_counts(frame: DataFrame, fields: Sequence[tuple[int, T.StructField]
     return union_all(counts) if counts else none
 
 
-def _as_value(column: Column, kind: T.DataType) -> tuple[str, Column]:
+def as_value(column: Column, kind: T.DataType) -> tuple[str, Column]:
     """A value in a form that keeps it apart from all others of its column, and the form's kind."""
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return "fraction", column.cast("double")
