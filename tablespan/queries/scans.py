@@ -23,7 +23,7 @@ from tablespan.sources.branches import (
     partitioned_files,
     scan_function,
 )
-from tablespan.sources.manifest import measured_files
+from tablespan.sources.manifest import measured_files, with_key_filters
 from tablespan.sources.sequences import range_of, sequence
 
 ORDERS = (
@@ -248,6 +248,28 @@ def scan_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT o_custkey, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high
+    FROM orders WHERE o_custkey IN (37, 74, 110, 111) GROUP BY o_custkey
+    """
+)
+def scan_key_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of some customers, whose keys lie inside the range of every file: key filters choose the files."""
+    path = new_folder(spark)
+    share = F.pmod(F.xxhash64("o_custkey"), F.lit(32))
+    orders = read(spark, folder, "orders").withColumn("share", share)
+    orders.repartition("share").write.partitionBy("share").parquet(path)
+    customer = ("o_custkey",)
+    files = with_key_filters(spark, measured_files(spark, path, ORDERS, [customer]), [customer])
+    rows = scan(spark, Table("orders", (files.branch(),), ORDERS), where=at("o_custkey").isin(37, 74, 110, 111))
+    return rows.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("o_orderkey").alias("low"),
+        F.max("o_orderkey").alias("high"),
+    )
+
+
 @query(
     """
     WITH size AS (SELECT max(l_orderkey) + 1 AS total FROM lineitem),

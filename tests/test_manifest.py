@@ -12,7 +12,7 @@ from tablespan.plans.predicates import Bounds, at
 from tablespan.plans.scan import kept_branches, scan
 from tablespan.plans.tables import Table
 from tablespan.sources.branches import partitioned_files
-from tablespan.sources.manifest import extended, measured_files
+from tablespan.sources.manifest import extended, measured_files, with_key_filters
 
 SCHEMA = T.StructType().add("n", T.IntegerType()).add("s", T.StringType()).add("x", T.DoubleType())
 SCHEMA = SCHEMA.add("p", T.StructType().add("d", T.DateType())).add("part", T.StringType())
@@ -118,3 +118,57 @@ def test_row_groups_of_kept_tables_are_bounded(spark):
     most = max(groups.row_group(i).num_rows for i in range(groups.num_row_groups))
     assert most <= 16  # 160 KB a row; the next check is at most 16 rows away
     assert bounded.agg({"id": "sum"}).first()[0] == 64 * 63 // 2
+
+
+def test_key_filters_never_lose_a_row(spark, folder):
+    manifest = with_key_filters(spark, measured_files(spark, folder, SCHEMA, [("x",)]), [("n",), ("s",), ("part",)])
+    table = Table("t", (manifest.branch(),), SCHEMA)
+    plain = spark.read.schema(SCHEMA).parquet(folder)
+    for where in [*PREDICATES, at("s").isin("", "é", None), at("n") == 7.0, at("n") == 1 << 40, [at("n") == 7, at("s") == "ab"]]:
+        found, want = scan(spark, table, where=where), plain
+        for one in where if isinstance(where, list) else [where]:
+            want = want.where(one.column(SCHEMA))
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, want.collect())), where
+
+
+def test_key_filters_choose_files_inside_all_ranges(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    rows = spark.range(0, 40_000, 1, 4).selectExpr("id AS n", "CAST(id % 16 AS string) AS part")
+    rows.repartition("part").write.partitionBy("part").parquet(path)
+    schema = T.StructType().add("n", T.LongType()).add("part", T.StringType())
+    ranges = measured_files(spark, path, schema, [("n",)])
+    keyed = with_key_filters(spark, ranges, [("n",)])
+    wrong = 0
+    for n in (161, 20_002, 31_999):
+        assert ranges.needed([at("n") == n]).count() == 16
+        wrong += keyed.needed([at("n") == n]).count() - 1
+    assert wrong <= 4  # of 45; about 1 in 100 is expected
+    assert keyed.needed([at("n") == 50_000]).count() == 0  # beyond all ranges
+    read = scan(spark, Table("t", (keyed.branch(),), schema), where=at("n").isin(16, 160, 16_000))
+    assert sorted(r.n for r in read.collect()) == [16, 160, 16_000]
+    assert len(read.inputFiles()) < 5
+
+
+def test_key_filters_grow_with_new_files(spark, tmp_path):
+    path = str(tmp_path / "grow")
+    schema = T.StructType().add("n", T.IntegerType())
+    spark.createDataFrame([(None,), (5,), (9,)], schema).coalesce(1).write.parquet(path)
+    keyed = with_key_filters(spark, measured_files(spark, path, schema), [("n",)])
+    before = {r["file"] for r in keyed.files.collect()}
+    spark.createDataFrame([(7,), (None,)], schema).coalesce(1).write.mode("append").parquet(path)
+    files = [f for f in spark.read.parquet(path).inputFiles() if f not in before and f.replace("file:///", "file:/") not in before]
+    assert len(files) == 1
+    grown = extended(spark, keyed, files)
+    assert keyed.needed([at("n") == 7]).count() == 0
+    assert grown.needed([at("n") == 7]).count() == grown.needed([at("n") == 5]).count() == 1
+    assert grown.needed([]).count() == 2
+
+
+def test_key_filters_of_empty_files_and_refused_kinds(spark, tmp_path):
+    path = str(tmp_path / "none")
+    spark.createDataFrame([], "n int, x double").write.parquet(path)
+    schema = T.StructType().add("n", T.IntegerType()).add("x", T.DoubleType())
+    keyed = with_key_filters(spark, measured_files(spark, path, schema), [("n",)])
+    assert scan(spark, Table("t", (keyed.branch(),), schema), where=at("n") == 1).count() == 0
+    with pytest.raises(ValueError, match="double"):
+        with_key_filters(spark, keyed, [("x",)])
