@@ -15,7 +15,7 @@ from tablespan.plans.scan import BRANCH, branch_rows
 from tablespan.plans.tables import Table
 
 # The types whose smallest and largest value are reported.
-_BOUNDED_TYPES = (
+BOUNDED_TYPES = (
     T.ByteType,
     T.ShortType,
     T.IntegerType,
@@ -49,9 +49,9 @@ def column_statistics(
     unknown_text, unknown_count = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     for i, field in enumerate(fields):
         column = F.col(quoted(field.name))
-        bounded = isinstance(field.dataType, _BOUNDED_TYPES)
+        bounded = isinstance(field.dataType, BOUNDED_TYPES)
         text = isinstance(field.dataType, T.StringType)
-        sketched = distinct == "approx" and not _holds_map(field.dataType)
+        sketched = distinct == "approx" and not holds_map(field.dataType)
         measures.append(F.count_if(column.isNull()).alias(f"nulls_{i}"))
         if bounded:
             measures += [F.min(column).alias(f"low_{i}"), F.max(column).alias(f"high_{i}")]
@@ -76,7 +76,7 @@ def column_statistics(
         )
     measured = frame.agg(*measures).select(F.inline(F.array(*rows)))
     if distinct == "exact":
-        counted = [f for f in enumerate(fields) if not _holds_map(f[1].dataType)]
+        counted = [f for f in enumerate(fields) if not holds_map(f[1].dataType)]
         counts = distinct_counts(frame, counted).withColumnRenamed("number", "of")
         # One row per column.
         joined = measured.join(F.broadcast(counts), F.col("number") == F.col("of"), "left")
@@ -140,11 +140,11 @@ def _alike(column: Column, kind: T.DataType) -> Column:
     return column
 
 
-def _holds_map(kind: T.DataType) -> bool:
+def holds_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.StructType):
-        return any(_holds_map(f.dataType) for f in kind.fields)
+        return any(holds_map(f.dataType) for f in kind.fields)
     if isinstance(kind, T.ArrayType):
-        return _holds_map(kind.elementType)
+        return holds_map(kind.elementType)
     return isinstance(kind, T.MapType)
 
 
