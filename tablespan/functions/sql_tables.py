@@ -7,7 +7,10 @@
 
 A :class:`RowFunction` gives rows for one set of arguments and can be called in FROM or with
 LATERAL.  A :class:`StreamFunction` takes a table, dealt by PARTITION BY and
-sorted by ORDER BY, and sees one row at a time, so it holds its state and never a partition's rows.
+sorted by ORDER BY, and sees one row at a time, so it holds its state and at most an Arrow batch of
+a partition's rows.  Where its columns are known before the call, as over a frame or for a table that
+it is registered for, whole batches go in and out; Spark calls a function whose columns follow from the
+call row by row, with an Arrow batch for each, which takes some hundred times as long.
 Prefer Spark's own functions where they will do: these run in Python workers, fed in
 Arrow batches.
 """
@@ -16,16 +19,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import chain, islice
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.conversion import ArrowTableToRowsConversion, LocalDataToArrowConversion
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, UserDefinedTableFunction
 
 from tablespan.operators.layout import refuse_uneven
 
 _NO_DEFAULT = object()
+MOST_ROWS = 10_000  # that leave a stream as one Arrow table
 
 
 @dataclass(frozen=True)
@@ -118,7 +125,7 @@ class RowFunction:
             def eval(self, *given: Any, **named: Any) -> Iterator[tuple]:
                 yield from rows(**_filled(parameters, _bound(name, parameters, given, named)))
 
-        return _registered(spark, name, Handler, self.deterministic)
+        return _registered(spark, name, F.udtf(Handler, useArrow=True), self.deterministic)
 
 
 @dataclass(frozen=True)
@@ -138,8 +145,15 @@ class StreamFunction:
     end: Callable[[Any], Iterable[tuple]]
     deterministic: bool = True
 
-    def register(self, spark: SparkSession) -> UserDefinedTableFunction:
-        """Make the function known to SQL: name(TABLE(t) PARTITION BY k ORDER BY o, argument => value)."""
+    def register(self, spark: SparkSession, table: T.StructType | None = None, **arguments: Any) -> UserDefinedTableFunction:
+        """Make the function known to SQL: name(TABLE(t) PARTITION BY k ORDER BY o, argument => value).
+
+        With the schema of a `table` the columns are those for it and the given arguments, and rows go in
+        and out in batches; a call with another table's columns or other arguments then fails.
+        """
+        if table is not None:
+            fixed = _filled(self.parameters, _bound(self.name, self.parameters, (), arguments))
+            return _registered(spark, self.name, self._in_batches(table, self.schema(table, **fixed), fixed), self.deterministic)
         name, parameters = self.name, tuple(self.parameters)
         schema, begin, step, end = self.schema, self.begin, self.step, self.end
 
@@ -165,7 +179,34 @@ class StreamFunction:
                 if self.open:
                     yield from end(self.state)
 
-        return _registered(spark, name, Handler, self.deterministic)
+        return _registered(spark, name, F.udtf(Handler, useArrow=True), self.deterministic)
+
+    def _in_batches(self, table: T.StructType, columns: T.StructType, fixed: Mapping[str, Any] | None = None) -> UserDefinedTableFunction:
+        """The function for tables of one schema and with these columns; `fixed` are the arguments it takes, if not any."""
+        name, parameters = self.name, tuple(self.parameters)
+        begin, step, end = self.begin, self.step, self.end
+
+        class Handler:
+            def __init__(self) -> None:
+                self.state: Any = None
+                self.open = False
+
+            def eval(self, rows: pa.RecordBatch, *given: pa.Array, **named: pa.Array) -> Iterator[pa.Table]:
+                if not self.open:
+                    _same_columns(name, table, rows.schema)
+                    found = _filled(parameters, _bound(name, parameters, [_one(x) for x in given], {n: _one(x) for n, x in named.items()}))
+                    if fixed is not None and found != fixed:
+                        raise ValueError(f"{name} is registered for the arguments {fixed}, got {found}")
+                    self.state = begin(**found)
+                    self.open = True
+                held = ArrowTableToRowsConversion.convert(pa.Table.from_batches([rows]), table)
+                yield from _tables(chain.from_iterable(step(self.state, row) for row in held), columns)
+
+            def terminate(self) -> Iterator[pa.Table]:
+                if self.open:
+                    yield from _tables(end(self.state), columns)
+
+        return F.arrow_udtf(Handler, returnType=columns)
 
     def over(
         self,
@@ -184,12 +225,35 @@ class StreamFunction:
         if not keys:
             raise ValueError(f"{self.name}: a stream needs at least one key; a table without one is a single task")
         table = frame.asTable().partitionBy(*keys)
+        if order:
+            table = table.orderBy(*order)
         given = {n: F.lit(v) for n, v in arguments.items()}
-        return self.register(frame.sparkSession)(table.orderBy(*order) if order else table, **given)
+        columns = self.register(frame.sparkSession)(table, **given).schema  # Spark checks the call and its arguments
+        made = self._in_batches(frame.schema, columns)
+        return (made.asDeterministic() if self.deterministic else made)(table, **given)
+
+
+def _same_columns(function: str, table: T.StructType, given: pa.Schema) -> None:
+    """Raise unless a batch has a table's names, and its timestamps their kind; other types fail where they are used."""
+    clocks = [pa.types.is_timestamp(f.type) and f.type.tz is not None for f in given]
+    if given.names != table.names or clocks != [isinstance(f.dataType, T.TimestampType) for f in table]:
+        raise TypeError(f"{function} is registered for {table.simpleString()}, got {given.names}")
+
+
+def _one(values: pa.Array) -> Any:
+    """The value that all of an argument's values are."""
+    if len(found := values.unique()) != 1:
+        raise TypeError("the arguments of a stream must be constants")
+    return found[0].as_py()
+
+
+def _tables(rows: Iterable[tuple], columns: T.StructType) -> Iterator[pa.Table]:
+    left = iter(rows)
+    while made := list(islice(left, MOST_ROWS)):
+        yield LocalDataToArrowConversion.convert(made, columns, False)
 
 
-def _registered(spark: SparkSession, name: str, handler: type, deterministic: bool) -> UserDefinedTableFunction:
-    made = F.udtf(handler, useArrow=True)
+def _registered(spark: SparkSession, name: str, made: UserDefinedTableFunction, deterministic: bool) -> UserDefinedTableFunction:
     if deterministic:
         made = made.asDeterministic()
     spark.udtf.register(name, made)

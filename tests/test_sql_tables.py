@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablespan.functions.sql_tables import Parameter, RowFunction
+from tablespan.functions.sql_tables import Parameter, RowFunction, StreamFunction
 from tablespan.queries.sql_tables import CALENDAR, JSON_FIELDS, SESSIONS
 
 
@@ -105,3 +105,51 @@ def test_a_stream_holds_no_rows(spark):
     rows = [T.Row(user_id=1, ts=dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), value=1.0) for i in range(1000)]
     assert [x for r in rows for x in SESSIONS.step(state, r)] == []
     assert SESSIONS.end(state) == [(1, rows[0].ts, rows[-1].ts, 1000, 1000.0)]
+
+
+def test_streams_travel_in_whole_batches(spark):
+    """Spark calls a function whose columns follow from the call once a row, with an Arrow batch for each."""
+    events = spark.range(9).select((F.col("id") % 2).alias("user_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), F.lit(1.0).alias("value"))
+    events.createOrReplaceTempView("tablespan_batches")
+    SESSIONS.register(spark, events.schema)
+    called = spark.sql("SELECT * FROM tablespan_sessions(TABLE(tablespan_batches) PARTITION BY user_id ORDER BY ts)")
+    whole_batches = 302  # the kind of a function that takes Arrow batches, as plans show it
+    for frame in (SESSIONS.over(events, ["user_id"], ["ts"]), called):
+        assert f", {whole_batches}" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_stream_for_one_table(spark):
+    draw = random.Random(5)
+    begin = dt.datetime(2024, 1, 1)
+    rows = [(draw.choice([None, 1, 1, 2]), begin + dt.timedelta(minutes=draw.randint(0, 3000)), draw.choice([None, 1.0])) for _ in range(300)]
+    events = spark.createDataFrame(rows, "user_id bigint, ts timestamp_ntz, value double").repartition(3)
+    events.createOrReplaceTempView("tablespan_fixed")
+    SESSIONS.register(spark, events.schema, gap_minutes=5)
+    call = "SELECT * FROM tablespan_sessions(TABLE({}) PARTITION BY user_id ORDER BY ts{})"
+    found = spark.sql(call.format("tablespan_fixed", ", gap_minutes => 5"))
+    assert sorted(map(tuple, found.collect()), key=repr) == expected_sessions(rows, dt.timedelta(minutes=5))
+    refused = [("tablespan_fixed", ", gap_minutes => 6"), ("tablespan_fixed", ""), ("tablespan_fixed", ", 5, 5"), ("SELECT user_id, value, ts FROM tablespan_fixed", ", 5")]
+    refused += [("SELECT user_id, ts::timestamp AS ts, value FROM tablespan_fixed", ", 5")]
+    for table, arguments in refused:
+        with pytest.raises((AnalysisException, PySparkException)):
+            spark.sql(call.format(table, arguments)).collect()
+    with pytest.raises(TypeError, match="no argument"):
+        SESSIONS.register(spark, events.schema, gap=5)
+
+
+def test_streams_keep_their_values(spark):
+    """Times with a zone, structs, maps and keys of several batches arrive as a row has them."""
+    shown = T.StructType().add("at", T.TimestampType()).add("s", T.StringType()).add("n", T.LongType())
+
+    def step(state, row):
+        state.append(1)
+        if len(state) % 5000 == 0:
+            yield row.at, f"{row.s.a}-{row.m['k']}", len(state)
+
+    echo = StreamFunction("tablespan_echo", [], lambda table: shown, lambda: [], step, lambda state: [(None, None, len(state))])
+    rows = spark.range(25000).select(
+        F.lit("x").alias("key"), F.timestamp_seconds("id").alias("at"), F.struct((F.col("id") + 1).alias("a")).alias("s"), F.create_map(F.lit("k"), F.lit(7)).alias("m")
+    )
+    found = [tuple(r) for r in echo.over(rows, ["key"], ["at"]).collect()]
+    zero = spark.range(1).select(F.timestamp_seconds(F.lit(0))).first()[0]
+    assert found == [(zero + dt.timedelta(seconds=n - 1), f"{n}-7", n) for n in range(5000, 25001, 5000)] + [(None, None, 25000)]
