@@ -205,11 +205,12 @@ _SESSIONS_SQL = """
 @query(_SESSIONS_SQL.format(1440))
 def table_function_over_table(spark: SparkSession, folder: str) -> DataFrame:
     """Sessions of each user, made while the user's events stream by in their order."""
-    SESSIONS.register(spark)
+    events = read(spark, folder, "events")
+    SESSIONS.register(spark, events.schema, gap_minutes=1440)
     return spark.sql(
         """SELECT user_id, first_ts, last_ts, n_events, round(total, 4) AS total
         FROM tablespan_sessions(TABLE({events}) PARTITION BY user_id ORDER BY (ts, event_id), gap_minutes => 1440)""",
-        events=read(spark, folder, "events"),
+        events=events,
     )
 
 
