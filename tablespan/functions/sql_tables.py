@@ -10,7 +10,7 @@ LATERAL.  A :class:`StreamFunction` takes a table, dealt by PARTITION BY and
 sorted by ORDER BY, and sees one row at a time, so it holds its state and at most an Arrow batch of
 a partition's rows.  Where its columns are known before the call, as over a frame or for a table that
 it is registered for, whole batches go in and out; Spark calls a function whose columns follow from the
-call row by row, with an Arrow batch for each, which takes some hundred times as long.
+call row by row, with an Arrow batch for each, which takes several times as long.
 Prefer Spark's own functions where they will do: these run in Python workers, fed in
 Arrow batches.
 """
