@@ -34,7 +34,7 @@ from tablespan.llm.components import components
 from tablespan.llm.registry import query, read
 from tablespan.llm.tables import added_up
 from tablespan.llm.words import NOT_BLANK, Block, as_bytes, blocks, give_back, mixed
-from tablespan.sources.shared import kept
+from tablespan.sources.shared import kept, kept_and_measured
 
 SHINGLE = 5
 SKETCH = 1 << 20  # counters of the token sketch
@@ -222,8 +222,9 @@ def verified(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataF
     sources = sets.select("node", "doc_id", "text_hash").join(nodes, "node", "left_semi").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_hash"))).alias("s")
     )
-    requests = kept(spark, wanted.join(sources, "node").select("node", "home", F.col("s.doc_id").alias("wanted_id"), F.col("s.text_hash").alias("wanted_hash")))
-    if requests.count() <= BROADCAST_ROWS:
+    named = wanted.join(sources, "node").select("node", "home", F.col("s.doc_id").alias("wanted_id"), F.col("s.text_hash").alias("wanted_hash"))
+    requests, (n,) = kept_and_measured(spark, named, F.count("*"))
+    if n <= BROADCAST_ROWS:
         requests = F.broadcast(requests)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     same = texts.doc_id.eqNullSafe(F.col("wanted_id")) & (texts.text_hash == F.col("wanted_hash"))
@@ -301,8 +302,8 @@ def node_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Da
     weight, before = F.col("central"), float("inf")
     for n in range(STAR_ROUNDS):
         found = kept(spark, verified(spark, docs, sets, _candidates(_stars(entries, weight))))
-        links = links.unionAll(found)
-        labels = components(spark, links)
+        labels = components(spark, links.unionAll(found))
+        links = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))  # stars in place of all links so far
         relabelled = entries.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         entries = kept(spark, _open(relabelled))
         by_label = entries.groupBy("token", "label").agg(F.count("*").alias("n"))
@@ -346,19 +347,19 @@ def first_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = rows.groupBy("label").agg(F.min(own).alias("first"))
     others = rows.join(first, "label").filter(own != F.col("first")).select("doc_id", "text_hash")
-    others = kept(spark, others.distinct())
-    twins = kept(spark, rows.filter("n > 1").select("doc_id", "text_hash"))
+    others, (n_others,) = kept_and_measured(spark, others.distinct(), F.count("*"))
+    twins, (n_twins,) = kept_and_measured(spark, rows.filter("n > 1").select("doc_id", "text_hash"), F.count("*"))
     named = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
     marked = docs.select(*named, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
 
-    def among(frame: DataFrame, how: str) -> DataFrame:
-        held = F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+    def among(frame: DataFrame, n: int, how: str) -> DataFrame:
+        held = F.broadcast(frame) if n <= BROADCAST_ROWS else frame
         held = held.select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"))
         return marked.join(held, marked.doc_id.eqNullSafe(F.col("h_id")) & (marked.text_hash == F.col("h_hash")), how)
 
-    marked = among(others, "left_anti")
-    if twins.head(1):
-        marked = among(twins, "left_anti").unionByName(among(twins, "left_semi").dropDuplicates(["doc_id", "text_hash"]))
+    marked = among(others, n_others, "left_anti")
+    if n_twins:
+        marked = among(twins, n_twins, "left_anti").unionByName(among(twins, n_twins, "left_semi").dropDuplicates(["doc_id", "text_hash"]))
     return marked.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 

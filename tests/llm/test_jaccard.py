@@ -5,6 +5,7 @@ import numpy as np
 
 from tablespan.llm import jaccard as J
 from tablespan.llm.components import components
+from tablespan.sources.shared import recorded
 from tests.llm.frames import SMALL, documents, given, written
 
 
@@ -114,3 +115,13 @@ def test_components(spark):
 
 def test_no_documents(spark, tmp_path):
     assert J.op9_near_duplicates(spark, written(tmp_path, documents=documents(spark, []))).count() == 0
+
+
+def test_links_that_are_stars_settle_in_one_round(spark):
+    """The driver has one job to write a round and none to compare it; a first round that changes nothing is the last."""
+    for links in ([(1, i) for i in range(2, 40)] + [(70, 50), (50, 60), (50, 60), (50, 50)], []):
+        frame = spark.createDataFrame(links, "a long, b long")
+        with recorded() as folders:
+            found = components(spark, frame)
+        assert len(folders) == 2  # the links, and the round
+        assert {r.node: r.label for r in found.collect()} == {i: min(i, 50) if i > 49 else 1 for pair in links for i in pair}

@@ -29,6 +29,7 @@ from tablespan.sources.branches import (
     scan_function,
 )
 from tablespan.sources.sequences import sequence
+from tablespan.sources.shared import kept_and_measured
 
 # Workers cannot import this file, so what they need of it travels with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -447,3 +448,13 @@ def test_many_branches_make_a_shallow_plan(spark):
         "t", tuple(function_branch(sequence, 3) for _ in range(200)), T.StructType().add("n", T.LongType())
     )
     assert scan(spark, table, where=at("n") > 0).count() == 400
+
+
+def test_a_kept_table_is_measured_while_it_is_written(spark):
+    rows = spark.createDataFrame([(1, 2.5), (2, None), (2, 1.0), (None, 4.0)], "a long, b double").repartition(3)
+    measures = F.count("*"), F.sum("a"), F.max("b")
+    frame, values = kept_and_measured(spark, rows, *measures)
+    assert values == (4, 5, 4.0) and sorted(map(tuple, frame.collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    for nothing in (rows.limit(0), rows.filter("a > 9"), rows.join(rows.filter("a > 9").select("a"), "a").distinct()):
+        frame, values = kept_and_measured(spark, nothing, *measures)
+        assert values == (0, None, None) and frame.count() == 0
