@@ -4,8 +4,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 again as the next stage's documents. All but the last return the columns of the documents.
 
 A stage's intermediate tables are needed until its result is written. They are dropped when the next stage
-in the order begins, whose documents are that written result; they stay while its documents read them. The session's
-batches for Python workers are bounded by bytes, since texts differ in length by several orders of magnitude.
+in the order begins, whose documents are that written result; they stay while its documents read them.
+
+The stages run one after another in the same executors, whose heaps keep what the largest stage took. So the session
+bounds what a task holds of texts at once, which differ in length by several orders of magnitude: batches for Python workers
+and row groups by bytes, and the rows that are decoded together by their number.
 """
 
 from __future__ import annotations
@@ -24,8 +27,12 @@ from tablespan.sources.shared import drop_folders, kept, recorded
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-MOST_BATCH_BYTES = 4 << 20
+#: What a task holds of texts: sent to a Python worker together, gathered before they are written, and decoded together.
+HELD = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": 1 << 20,
+    "parquet.block.size": 8 << 20,
+    "spark.sql.parquet.columnarReaderBatchSize": 512,
+}
 
 #: Folders with intermediate tables of each stage; those of the last stage belong to its reader.
 _made: dict[str, list[str]] = {}
@@ -37,7 +44,8 @@ def _stage(after: str | None, last: bool = False) -> Callable[[Stage], Stage]:
     def wrap(work: Stage) -> Stage:
         @wraps(work)
         def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            spark.conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
+            for name, most in HELD.items():
+                spark.conf.set(name, str(most))
             before = _made.get(after or "", [])
             if before and not _reads(docs, before):
                 drop_folders(spark, before)

@@ -298,7 +298,7 @@ def node_components(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> Da
     # A set whose lists all have company is central among its near copies.
     central = lists.groupBy("node").agg((F.count("*") / F.max("size")).alias("central"))
     entries = kept(spark, lists.join(central, "node").distinct().withColumn("label", F.col("node")))
-    links = spark.createDataFrame([], "a long, b long")
+    links = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))  # not rows of the driver, which would pass Python workers
     weight, before = F.col("central"), float("inf")
     for n in range(STAR_ROUNDS):
         found = kept(spark, verified(spark, docs, sets, _candidates(_stars(entries, weight))))

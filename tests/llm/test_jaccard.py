@@ -5,7 +5,7 @@ import numpy as np
 
 from tablespan.llm import jaccard as J
 from tablespan.llm.components import components
-from tablespan.sources.shared import recorded
+from tablespan.sources.shared import kept, recorded
 from tests.llm.frames import SMALL, documents, given, written
 
 
@@ -125,3 +125,10 @@ def test_links_that_are_stars_settle_in_one_round(spark):
             found = components(spark, frame)
         assert len(folders) == 2  # the links, and the round
         assert {r.node: r.label for r in found.collect()} == {i: min(i, 50) if i > 49 else 1 for pair in links for i in pair}
+
+
+def test_no_rows_of_the_driver_pass_python_workers(spark, monkeypatch):
+    texts = ["a b c d e f g h i", "k l m n o p q r s", "a b c d e f g h i j", "k l m n o p q r s", "t u v w x y"]
+    docs = kept(spark, documents(spark, list(enumerate(texts))))
+    monkeypatch.setattr(type(spark), "createDataFrame", None)  # its rows would start further Python workers, which stay
+    assert {r.doc_id: r.component_id for r in J.near_duplicates(spark, docs).collect()} == {0: 0, 1: 1, 2: 0, 3: 1, 4: 4}

@@ -1,6 +1,9 @@
 import importlib
 
 import corpus_pipeline as P
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 from tablespan.llm import personal
 from tablespan.sources.shared import kept
 from tests.llm.frames import SMALL, documents, given
@@ -92,3 +95,21 @@ def test_intermediate_tables_are_dropped_by_the_next_stage(spark):
     packed = stages["packing"](spark, docs, SMALL)
     stages["language"](spark, docs, SMALL)
     assert packed.count() > 0 and "packing" not in P._made
+
+
+def test_a_task_holds_few_texts_at_once(spark, tmp_path):
+    docs = spark.range(0, 240, 1, 1).select("id", F.expr("concat_ws('', transform(sequence(1, 1500), k -> sha2(concat(id, ':', k), 256)))").alias("text"))
+    plain = P._stage(after=None, last=True)(lambda spark, docs, sf_dir: docs)
+    plain(spark, docs, SMALL).write.parquet(f"{tmp_path}/docs")
+    (file,) = tmp_path.glob("docs/*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    sizes = [sum(groups.row_group(i).column(c).total_compressed_size for c in range(2)) for i in range(groups.num_row_groups)]
+    assert sum(sizes) > 12 << 20 and max(sizes) < 10 << 20  # 128 MB by default
+
+    def measure(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.get_total_buffer_size()])], names=["n", "bytes"])
+
+    seen = spark.read.parquet(f"{tmp_path}/docs").mapInArrow(measure, "n long, bytes long").collect()
+    assert sum(r.n for r in seen) == 240 and max(r.n for r in seen) <= 1 + (1 << 20) // 96_000
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
